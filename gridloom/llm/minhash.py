@@ -5,12 +5,14 @@ holds the least hash of each bin, an empty bin borrowing from the first non-empt
 5 rows a pair of similarity 0.85 shares no bucket with probability 2e-8, one of 0.8 with 5e-6.
 
 1. Rows with equal sets form a class, reduced with partial aggregation; its smallest id stands for it.
-2. Within a bucket every class is a candidate of the bucket's smallest id only: the number of pairs is linear in the rows. Pairs are confirmed
-   on the full sets, whose texts are read again for candidates only.
-3. Confirmed links are joined to components. In a bucket whose classes are not all in one component yet, further classes
-   become centres, four times as many in each round, chosen by a hash; a centre is compared with the classes of other components in
-   that bucket only. The rounds end when every bucket lies in one component or every class of it has been a centre, so no link is lost to the
-   star shape. There is no cap on buckets or partners.
+2. Classes that share a bucket are candidates. Their texts are read again for the full sets, and each gets its number of private shingles (that no other
+   candidate has) and a histogram of its other shingles over ``PARTS`` parts of the hash range. Both bound the intersection with any
+   other set from above, so what they rule out is no link: a class with too many private shingles has none at all.
+3. Within a bucket every class is paired with one centre only, the one with the least share of private shingles: pairs are linear in
+   the rows. Pairs are confirmed on the full sets and joined to components.
+4. A link between two classes that both fail against their centres would be lost to the star shape. So in buckets whose classes are not all in one
+   component the other pairs are tested too, but a pair leaves the join only if its components differ, the bounds allow a link, and the
+   bucket is the first that the two share. There is no cap on buckets or partners, and no link within a bucket is lost.
 
 Components are found by alternating least neighbours and pointer jumping on tables of links; nothing is collected to the driver. Loops cut their
 lineage with checkpoint().
@@ -35,6 +37,8 @@ BINS = BANDS * ROWS
 CACHE = 400_000
 #: Ids of candidates are broadcast up to this number (8 bytes each), to read only their texts again; beyond it they are joined by a shuffle.
 FEW = 2_000_000
+#: Parts of the histogram that bounds an intersection.
+PARTS = 128
 #: A bucket or class with over this share of the rows is joined by broadcast; there are at most 1 / share of them (by band).
 HOT_SHARE = 1e-3
 
@@ -167,17 +171,45 @@ def components(links: DataFrame, label: DataFrame | None = None) -> DataFrame:
             return now
 
 
-def rounds(buckets: DataFrame, comps: DataFrame, low: float, high_of: int) -> tuple[DataFrame, bool]:
-    """Pairs of a further round and whether a later one may be needed. A class is a centre of its bucket if its hash, scaled by the size, falls in the round."""
-    labelled = buckets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    labelled = labelled.withColumn("u", F.pmod(F.xxhash64("rep", F.lit(5)), F.lit(1 << 40)) / F.lit(float(1 << 40)))
-    open_ = labelled.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("m")).filter("c0 <> c1").select("key", "m")
-    rows = cut(labelled.join(open_, "key"))
-    centre = rows.filter((F.col("u") >= F.lit(low) / F.col("m")) & (F.col("u") < F.lit(float(high_of)) / F.col("m")))
-    a = centre.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"), F.col("u").alias("u_a"))
-    b = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), F.col("u").alias("u_b"))
-    pairs = a.join(b, "key").filter("comp_a <> comp_b and (u_b > u_a or (u_b = u_a and b > a))").select("a", "b", "n_a", "n_b").distinct()
-    return pairs, rows.filter(F.col("m") > high_of).limit(1).count() > 0
+def bounds(sets: DataFrame) -> DataFrame:
+    """rep, n, u (private shingles) and hist (of the others) of each candidate."""
+    owners = sets.select("rep", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("c"), F.min("rep").alias("rep"))
+    private = owners.filter("c = 1").groupBy("rep").agg(F.collect_list("item").alias("private"))  # a part of one text's set
+
+    def run(batches):
+        for b in batches:
+            hist, u = [], []
+            items, private = b.column(1), b.column(2)
+            for i in range(b.num_rows):
+                h = np.asarray(items[i].values).view(np.uint64)
+                p = np.asarray(private[i].values).view(np.uint64) if private[i].is_valid else h[:0]
+                part = [np.bincount((x >> np.uint64(40)).astype(np.int64) % PARTS, minlength=PARTS) for x in (h, p)]
+                hist.append((part[0] - part[1]).astype(np.int32))
+                u.append(len(p))
+            yield pa.RecordBatch.from_pydict({"rep": b.column(0), "u": pa.array(u, pa.int64()), "hist": pa.array(hist, pa.list_(pa.int32()))})
+
+    return sets.join(private, "rep", "left").select("rep", "items", "private").mapInArrow(run, "rep long, u long, hist array<int>")
+
+
+def linkable(n_a: str, u_a: str, n_b: str, u_b: str, percent: int) -> str:
+    """Whether sizes and private shingles leave room for a link."""
+    most = f"least({n_a} - {u_a}, {n_b} - {u_b})"
+    return f"100 * {most} >= {percent} * ({n_a} + {n_b} - {most})"
+
+
+def residual(buckets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """The pairs of classes of different components that share a bucket and that the bounds do not rule out, each once."""
+    rows = buckets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    open_ = rows.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
+    rows = cut(rows.join(open_, "key"))
+    side = lambda x: rows.select("key", "band", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "u", "comp", "bands", "hist")))
+    most = "aggregate(zip_with(hist_a, hist_b, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
+    on = f"""rep_a < rep_b and comp_a <> comp_b and {linkable("n_a", "u_a", "n_b", "u_b", percent)}
+        and array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band_a + 1
+        and 100 * {most} >= {percent} * (n_a + n_b - {most})"""
+    a, b = side("a").withColumnsRenamed({"key": "key_a", "band": "band_a"}), side("b").drop("band")
+    pairs = a.hint("merge").join(b, F.expr(f"key_a = key and {on}"))
+    return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "n_a", "n_b")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,25 +217,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     rows = cut(signatures(docs, size, id_col, text_col))
     some = rows.filter("n_shingles > 0 and doc_id is not null")
     classes = cut(some.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("g_n")))
-    keys = classes.select("rep", "n", F.posexplode("bands").alias("band", "k")).select("rep", "n", F.xxhash64("band", "k").alias("key"))
-    heads = cut(keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("head"), F.count("*").alias("m")).filter("m > 1").select("key", F.col("head.rep").alias("a"), F.col("head.n").alias("n_a")))
-    buckets = cut(keys.join(heads, "key"))
-    pairs = cut(buckets.filter("rep <> a").select("a", F.col("rep").alias("b"), "n_a", F.col("n").alias("n_b")).distinct())
-    members = buckets.select("key", "rep", "n")
-    sets = cut(shingle_sets(docs, buckets.select("rep").distinct(), size, id_col, text_col).join(classes.select("rep", "set_a"), ["rep", "set_a"], "left_semi").select("rep", "items"))
+    keys = classes.select("rep", "n", F.posexplode("bands").alias("band", "k")).select("rep", "band", F.xxhash64("band", "k").alias("key"))
+    shared = cut(keys.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key"))
+    buckets = cut(keys.join(shared, "key"))
+    wanted = cut(buckets.select("rep").distinct())
+    sets = cut(shingle_sets(docs, wanted, size, id_col, text_col).join(classes.select("rep", "set_a"), ["rep", "set_a"], "left_semi").select("rep", "items"))
+    seen = sets.select(F.count("*").alias("n"), F.count_distinct("rep").alias("d")).first()
+    if seen.n != seen.d:  # an id is repeated; only then the sets are dealt by id
+        sets = cut(sets.dropDuplicates(["rep"]))
+    about = classes.select("rep", "n", "bands").join(bounds(sets), "rep").filter(f"100 * (n - u) >= {percent} * n")
+    buckets = cut(buckets.join(about, "rep"))
+    heads = buckets.groupBy("key").agg(F.min(F.struct(F.expr("u / n").alias("share"), "rep", "n", "u")).alias("h")).select("key", F.col("h.rep").alias("a"), F.col("h.n").alias("n_a"), F.col("h.u").alias("u_a"))
+    stars = buckets.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("u").alias("u_b")).join(heads, "key")
+    pairs = cut(stars.filter("a <> b").filter(linkable("n_a", "u_a", "n_b", "u_b", percent)).select("a", "b", "n_a", "n_b").distinct())
     links = cut(confirmed(pairs, sets, percent))
     comps = components(links)
-    low, high = 0.0, 4
-    while True:
-        pairs, more = rounds(members, comps, low, high)
-        pairs = cut(pairs)
-        found = cut(confirmed(pairs, sets, percent))
-        if found.limit(1).count():
-            links = cut(links.union(found).distinct())
-            comps = components(links)
-        if not more:
-            break
-        low, high = float(high), high * 4
+    found = cut(confirmed(cut(residual(buckets, comps, percent)), sets, percent))
+    if found.limit(1).count():
+        comps = components(links.union(found))
     # back from classes to rows: classes with many rows by broadcast (their number is bounded), the others by a shuffle
     final = cut(classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("set_a", "set_b", F.coalesce("comp", "rep").alias("c"), "g_n"))
     limit = int(rows.count() * HOT_SHARE) + 1
