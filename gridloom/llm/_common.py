@@ -26,6 +26,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return known
 
 
+_RESIDENT: dict = {}
+
+
+def resident(key, make):
+    """A large helper of an operator (a tokenizer, a cache), kept in the worker process for its next tasks. Only one is
+    kept: a worker that goes on to another operator frees the last one's memory."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder; a lost executor cannot lose it, and no later step repeats the work above it."""
     checkpoint_dir(df.sparkSession)

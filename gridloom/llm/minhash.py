@@ -30,11 +30,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import broadcast_below, cut
+from ._common import broadcast_below, cut, resident
 
 BANDS, ROWS = 30, 5
 BINS = BANDS * ROWS
-CACHE = 400_000
+CACHE = 250_000
 #: Ids of candidates are broadcast up to this number (8 bytes each), to read only their texts again; beyond it they are joined by a shuffle.
 FEW = 2_000_000
 #: Parts of the histogram that bounds an intersection.
@@ -93,13 +93,8 @@ class Shingler:
         return ((rows.sum(axis=1, dtype=np.uint64) + self.band) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
 
 
-_SHINGLERS: dict[int, Shingler] = {}
-
-
 def shingler(size: int) -> Shingler:
-    if size not in _SHINGLERS:
-        _SHINGLERS[size] = Shingler(size)
-    return _SHINGLERS[size]
+    return resident(("shingler", size), lambda: Shingler(size))
 
 
 def signatures(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
