@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import logistic, unit_hash
+from ._common import logistic, resident, unit_hash
 
 ORDER = 5
 MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -247,6 +247,7 @@ def fit(learn: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     sample = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), (u < max_docs / (max_docs + cal_docs)).alias("for_counts"), (u < 1).alias("chosen")).filter("chosen")
 
     def count(batches):
+        resident("language_id", object)  # frees what another operator has left in this worker
         for batch in batches:
             found: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -270,6 +271,7 @@ def identify(docs: DataFrame, models: Models | None, id_col: str = "doc_id", tex
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
+        resident("language_id", object)
         m = shared.value
         for batch in batches:
             texts = batch.column(1).to_pylist()

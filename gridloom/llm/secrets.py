@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import resident
 from .byte_bpe import encoding
 
 #: Fixed patterns of the base kinds: kind, pattern, the group whose length counts, its least length.
@@ -76,7 +77,7 @@ def scan(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
     """doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans for each row of docs."""
 
     def run(batches):
-        enc = encoding(rank_file, pattern)
+        enc = resident(("secrets", rank_file), lambda: encoding(rank_file, pattern))
         for batch in batches:
             rows = [spans_of(t or "", enc, max_ratio) for t in batch.column(1).to_pylist()]
             n = {f"n_{k}": pa.array([sum(s[2] == k for s in every) for _, every in rows], pa.int64()) for k in KINDS}
@@ -89,7 +90,7 @@ def redact(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
     """docs with every span of their texts replaced by ``mask``; all other columns and null texts stay as they are."""
 
     def hide(texts):
-        enc = encoding(rank_file, pattern)
+        enc = resident(("secrets", rank_file), lambda: encoding(rank_file, pattern))
         for series in texts:
             out = []
             for t in series.to_pylist():
