@@ -6,7 +6,7 @@ encoded again. A chunk that is not known goes through the normaliser, the pre-to
 Latin letters with at most a full stop or comma after it the two first are a table, made by the library letter by letter. A
 text in which white space stands on both sides of a space, or before one at its end, is given to the library whole.
 
-Memory is bounded by ``LIMIT`` chunks; after that nothing more is kept (what is frequent comes early).
+Memory is bounded by ``LIMIT`` chunks and ``PIECES`` of their pieces; after that nothing more is kept (what is frequent comes early).
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ import numpy as np
 from ._common import resident
 
 LIMIT = 500_000
+#: A piece is asked for only by chunks that are not known yet; the frequent ones are enough.
+PIECES = 50_000
 #: Letters below this are in tables; all of them are one letter in lower case as well.
 LATIN = "\u0130"
 CONTROLS = re.compile("[\x1c-\x1f]")
@@ -50,7 +52,7 @@ class Subwords:
         ids = self.pieces.get(piece)
         if ids is None:
             ids = np.array([t.id for t in self.model.tokenize(piece)], self.dtype).tobytes()
-            if len(self.pieces) < LIMIT:
+            if len(self.pieces) < PIECES:
                 self.pieces[piece] = ids
         return ids
 
