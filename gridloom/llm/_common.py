@@ -26,6 +26,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return known
 
 
+#: Bounds of the Arrow batches between executor and Python worker, which both hold several of; a session's own settings go first.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def mapped(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` on batches of bounded size."""
+    small_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def small_batches(spark: SparkSession) -> None:
+    for key, value in BATCH.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
+def trim() -> None:
+    """Give freed memory of this worker back to the system, where the C library can."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 _RESIDENT: dict = {}
 
 
@@ -33,7 +62,9 @@ def resident(key, make):
     """A large helper of an operator (a tokenizer, a cache), kept in the worker process for its next tasks. Only one is
     kept: a worker that goes on to another operator frees the last one's memory."""
     if key not in _RESIDENT:
-        _RESIDENT.clear()
+        if _RESIDENT:
+            _RESIDENT.clear()
+            trim()
         _RESIDENT[key] = make()
     return _RESIDENT[key]
 

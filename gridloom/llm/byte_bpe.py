@@ -11,7 +11,6 @@ Defined cases: a null text is an empty text with no ids. Ids repeat if rows repe
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 import re
 
@@ -19,11 +18,12 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
+from ._common import mapped, resident
+
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 PART = 200_000
 
 
-@functools.cache
 def encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
     with open(rank_file, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
@@ -55,7 +55,7 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids as binary."""
 
     def run(batches):
-        enc = encoding(rank_file, pattern)
+        enc = resident(("byte_bpe", rank_file, pattern), lambda: encoding(rank_file, pattern))
         for batch in batches:
             n, a, b, raw = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -69,4 +69,4 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
             yield pa.RecordBatch.from_pydict(out | ({"ids": pa.array(raw, pa.binary())} if with_ids else {}))
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
-    return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(run, schema)
+    return mapped(docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text"), run, schema)

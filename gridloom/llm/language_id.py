@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import logistic, resident, unit_hash
+from ._common import logistic, mapped, resident, unit_hash
 
 ORDER = 5
 MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -255,7 +255,7 @@ def fit(learn: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
             rows = [(g, k, v) for g, c in found.items() for k, v in c.items()]
             yield pa.RecordBatch.from_pydict({"lang": pa.array([r[0] for r in rows], pa.string()), "gram": pa.array([r[1] for r in rows], pa.string()), "n": pa.array([r[2] for r in rows], pa.int64())})
 
-    counted = sample.filter("for_counts").select("lang", "text").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = mapped(sample.filter("for_counts").select("lang", "text"), count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     grams: dict[str, Counter] = {g: Counter() for g in langs}
     table = counted.toArrow()
     for lang, gram, n in zip(*(table.column(i).to_pylist() for i in range(3)), strict=True):
@@ -281,7 +281,7 @@ def identify(docs: DataFrame, models: Models | None, id_col: str = "doc_id", tex
                 lang, score, bits, ok = m.predict(texts)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64()), "bits_per_char": pa.array(bits, pa.float64(), from_pandas=True), "accepted": pa.array(ok, pa.bool_())})
 
-    return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, lang_pred string, score double, bits_per_char double, accepted boolean")
+    return mapped(docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text"), run, "doc_id long, lang_pred string, score double, bits_per_char double, accepted boolean")
 
 
 def learnable(docs: DataFrame, held_out: Column) -> DataFrame:

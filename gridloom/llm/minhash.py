@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import broadcast_below, cut, resident
+from ._common import broadcast_below, cut, mapped, resident
 
 BANDS, ROWS = 30, 5
 BINS = BANDS * ROWS
@@ -114,7 +114,7 @@ def signatures(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFr
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "n_shingles": pa.array(n, pa.int64()), "set_a": pa.array(x, pa.int64()), "set_b": pa.array(y, pa.int64()), "bands": pa.array(keys, pa.list_(pa.int64()))})
 
     rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
+    return mapped(rows, run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -129,7 +129,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, tex
 
     ids = broadcast_below(wanted.select("rep"), FEW)
     rows = docs.selectExpr(f"cast(`{id_col}` as long) rep", f"`{text_col}` text").join(ids, "rep", "left_semi")
-    return rows.mapInArrow(run, "rep long, set_a long, items array<long>")
+    return mapped(rows, run, "rep long, set_a long, items array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -183,7 +183,7 @@ def bounds(sets: DataFrame) -> DataFrame:
                 u.append(len(p))
             yield pa.RecordBatch.from_pydict({"rep": b.column(0), "u": pa.array(u, pa.int64()), "hist": pa.array(hist, pa.list_(pa.int32()))})
 
-    return sets.join(private, "rep", "left").select("rep", "items", "private").mapInArrow(run, "rep long, u long, hist array<int>")
+    return mapped(sets.join(private, "rep", "left").select("rep", "items", "private"), run, "rep long, u long, hist array<int>")
 
 
 def linkable(n_a: str, u_a: str, n_b: str, u_b: str, percent: int) -> str:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import broadcast_below, cut
+from ._common import broadcast_below, cut, mapped
 from .subwords import subwords
 
 
@@ -145,7 +145,7 @@ def encoded(docs: DataFrame, file: str, end_id: int, window: int, keeps_space: b
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "task": pa.array([task] * len(n), pa.int32()), "n": pa.array(n, pa.int64()), "rest": pa.array([x % window for x in n], pa.int32()), "full_at": pa.array(f, pa.int64()), "rest_at": pa.array(r, pa.int64()), "width": pa.array([sub.width] * len(n), pa.int32()), "ids": pa.array(raw, pa.binary())})
 
     rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text")
-    return rows.mapInArrow(run, "doc_id long, task int, n long, rest int, full_at long, rest_at long, width int, ids binary")
+    return mapped(rows, run, "doc_id long, task int, n long, rest int, full_at long, rest_at long, width int, ids binary")
 
 
 def pack(docs: DataFrame, file: str, end_id: int = 1, window: int = 2048, keeps_space: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,4 +179,4 @@ def pack(docs: DataFrame, file: str, end_id: int = 1, window: int = 2048, keeps_
             yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in zip(("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"), cols, strict=True)})
 
     narrow = placed.select("doc_id", "n", (F.col("full_before") + F.col("full_at")).alias("f"), (F.coalesce("rest_before", F.lit(0)) + F.col("rest_at")).alias("r"), "width", "ids")
-    return narrow.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return mapped(narrow, run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import unit_hash
+from ._common import mapped, unit_hash
 
 BITS = 14
 BLOCK = 1_000_000
@@ -113,7 +113,7 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
             f = [features(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"g": b.column(2), "at": pa.array([x[0].astype(np.int32) for x in f], pa.list_(pa.int32())), "v": pa.array([x[1].astype(np.float32) for x in f], pa.list_(pa.float32()))})
 
-    table = rows.select("__id", "text", "__g").mapInArrow(hashed, "g int, at array<int>, v array<float>").toArrow()
+    table = mapped(rows.select("__id", "text", "__g"), hashed, "g int, at array<int>, v array<float>").toArrow()
     ats, vs = table.column("at").combine_chunks(), table.column("v").combine_chunks()
     return fit_ordinal([(np.asarray(ats[i].values, dtype=np.int64), np.asarray(vs[i].values, dtype=float), g) for i, g in enumerate(table.column("g").to_pylist())])
 
@@ -127,4 +127,4 @@ def rate(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str
             expected, tail = shared.value.predict(b.column(1).to_pylist(), tail_grade)
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "expected_grade": pa.array(expected, pa.float64()), "tail_prob": pa.array(tail, pa.float64()), "selected": pa.array(tail >= select_at, pa.bool_())})
 
-    return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, expected_grade double, tail_prob double, selected boolean")
+    return mapped(docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text"), run, "doc_id long, expected_grade double, tail_prob double, selected boolean")

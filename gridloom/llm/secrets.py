@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import resident
+from ._common import mapped, resident, small_batches
 from .byte_bpe import encoding
 
 #: Fixed patterns of the base kinds: kind, pattern, the group whose length counts, its least length.
@@ -77,20 +77,20 @@ def scan(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
     """doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans for each row of docs."""
 
     def run(batches):
-        enc = resident(("secrets", rank_file), lambda: encoding(rank_file, pattern))
+        enc = resident(("secrets", rank_file, pattern), lambda: encoding(rank_file, pattern))
         for batch in batches:
             rows = [spans_of(t or "", enc, max_ratio) for t in batch.column(1).to_pylist()]
             n = {f"n_{k}": pa.array([sum(s[2] == k for s in every) for _, every in rows], pa.int64()) for k in KINDS}
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0)} | n | {"base_sha256": pa.array([hashlib.sha256(joined(b).encode()).hexdigest() for b, _ in rows]), "spans": pa.array([joined(e) for _, e in rows], pa.string())})
 
-    return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string")
+    return mapped(docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text"), run, "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string")
 
 
 def redact(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text", mask: str = "[SECRET]", max_ratio: float = 2.0) -> DataFrame:
     """docs with every span of their texts replaced by ``mask``; all other columns and null texts stay as they are."""
 
     def hide(texts):
-        enc = resident(("secrets", rank_file), lambda: encoding(rank_file, pattern))
+        enc = resident(("secrets", rank_file, pattern), lambda: encoding(rank_file, pattern))
         for series in texts:
             out = []
             for t in series.to_pylist():
@@ -108,4 +108,5 @@ def redact(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
     from collections.abc import Iterator
 
     hide.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    small_batches(docs.sparkSession)
     return docs.withColumn(text_col, F.arrow_udf(hide, "string")(F.col(text_col)))

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import checkpoint_dir
+from ._common import checkpoint_dir, mapped
 from .subwords import subwords
 
 BLOCK_IDS = 1 << 20
@@ -147,7 +147,7 @@ def write_tokens(docs: DataFrame, path: str, file: str, end_id: int, keeps_space
     rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").withColumn("h", F.xxhash64("text"))
     dealt = rows.repartitionByRange(shards, "doc_id", "h") if shards else rows.repartitionByRange("doc_id", "h")
     ordered = dealt.sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    ordered.mapInArrow(run, "shard int, block int, base long, n_docs long, n_ids long, data binary").write.mode("errorifexists").parquet(path)
+    mapped(ordered, run, "shard int, block int, base long, n_docs long, n_ids long, data binary").write.mode("errorifexists").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -168,7 +168,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 yield pa.RecordBatch.from_pydict(out | ({"ids": pa.array(raw, pa.binary())} if with_ids else {}))
 
     rows = blocks.select("shard", "base", "data").join(F.broadcast(starts), "shard").select("before", "base", "data")
-    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+    return mapped(rows, run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

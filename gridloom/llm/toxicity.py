@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import logistic, unit_hash
+from ._common import logistic, mapped, unit_hash
 
 WORD = re.compile(r"\w+")
 STEMS = (4, 5, 7)
@@ -178,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             out = [Counter(t for w, c in Counter(WORD.findall(x.lower())).items() for t in terms_of(w) * c) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"id": b.column(0), "y": b.column(2), "terms": pa.array([list(c) for c in out], pa.list_(pa.string())), "n": pa.array([list(c.values()) for c in out], pa.list_(pa.int32()))})
 
-    table = rows.select("__id", "text", "__y").mapInArrow(count, "id long, y int, terms array<string>, n array<int>").toArrow()
+    table = mapped(rows.select("__id", "text", "__y"), count, "id long, y int, terms array<string>, n array<int>").toArrow()
     seen = {}
     for i, y, t, n in zip(*(table.column(c).to_pylist() for c in ("id", "y", "terms", "n")), strict=True):
         seen.setdefault(i, (Counter(dict(zip(t, n, strict=True))), y))
@@ -197,4 +197,4 @@ def score(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col
             got = [model.score(t) if model else (0.0, []) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "score": pa.array([g[0] for g in got], pa.float64()), "predicted": pa.array([int(g[0] >= 0.5) for g in got], pa.int32()), "evidence": pa.array([g[1] for g in got], pa.list_(pa.int64()))})
 
-    return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, score double, predicted int, evidence array<long>")
+    return mapped(docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text"), run, "doc_id long, score double, predicted int, evidence array<long>")
