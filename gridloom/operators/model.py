@@ -19,6 +19,8 @@ from .reduce import member_quantile
 #: Ranges of the random search. Trees grow by levels up to a depth of 30, leaf-wise growth and dropout do not exist here.
 FOREST = {"maxDepth": range(5, 31), "featureSubsetStrategy": ["log2", "all", "sqrt"], "numTrees": [300, 400, 500]}
 BOOSTED = {"maxDepth": range(3, 13), "minInstancesPerNode": range(10, 31), "maxIter": [300, 400, 500], "stepSize": [0.05, 0.1]}
+#: Rows of a training table that a task holds at most.
+TASK_ROWS = 250_000
 
 
 def target_name(variable: str) -> str:
@@ -81,12 +83,15 @@ def nested_predictions(df: DataFrame, features: list[str], label: str, kind: str
 
 
 def fit_ensemble(df: DataFrame, site: str, features: list[str], label: str, members: int = 15, kinds: tuple[str, ...] = ("forest", "boosted"), seed: int = 0, params: dict | None = None) -> list[PipelineModel]:
-    sites = [r[0] for r in df.select(site).distinct().collect()]
+    """The models of all members, each learnt from every row of the sites that it does not leave out."""
+    counts = {r[0]: r[1] for r in df.groupBy(site).count().collect()}
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-sum(counts.values()) // TASK_ROWS))
+    rows = df.repartition(tasks).cache()  # read and joined once for all members
     models = []
     for m in range(members):
-        part = leave_out(df, site, left_out_sites(sites, m, seed=seed)).cache()
+        part = leave_out(rows, site, left_out_sites(list(counts), m, seed=seed))
         models += [pipeline(features, label, k, seed + m, **(params or {}).get(k, {})).fit(part) for k in kinds]
-        part.unpersist()
+    rows.unpersist()
     return models
 
 

@@ -61,13 +61,9 @@ def site_list(spark, d):
     return training(spark, d).groupBy("site").agg(F.count("*").alias("n"))
 
 
-def _sample(spark, d):
-    return training(spark, d).filter(F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(20)) == 0)
-
-
 def _predict(spark, d, kind, **params):
     rows = training(spark, d)
-    models = model.fit_ensemble(_sample(spark, d), "site", FEATURES, "label", members=2, kinds=(kind,), params={kind: params})
+    models = model.fit_ensemble(rows, "site", FEATURES, "label", kinds=(kind,), params={kind: params})
     return model.ensemble_median(model.predict_ensemble(rows, models, FEATURES, ["quantity"], ["site", "l_orderkey", "l_linenumber"])).drop("members")
 
 
@@ -83,7 +79,7 @@ def gbt_ensemble_predict(spark, d):
 
 @query()
 def feature_importance(spark, d):
-    models = model.fit_ensemble(_sample(spark, d), "site", FEATURES, "label", members=2, kinds=("forest",), params={"forest": {"numTrees": 10, "maxDepth": 5}})
+    models = model.fit_ensemble(training(spark, d), "site", FEATURES, "label", kinds=("forest",), params={"forest": {"numTrees": 10, "maxDepth": 5}})
     return model.importance(models, FEATURES, spark)
 
 

@@ -108,6 +108,22 @@ def test_nested_cv_and_prediction(spark):
     assert best.bestModel.transform(df).count() == 240
 
 
+def test_registered_ensembles_learn_from_all_rows(spark, monkeypatch):
+    fit, seen = model.fit_ensemble, []
+
+    def watched(df, *args, **kw):
+        seen.append((df.count(), kw.get("members", 15)))
+        return fit(df, *args, **(kw | {"members": 3}))  # three suffice for a median
+
+    monkeypatch.setattr(model, "fit_ensemble", watched)
+    n = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    for name in ("rf_ensemble_predict", "gbt_ensemble_predict"):
+        out = QUERIES[name](spark, SF).agg(F.count("*"), F.count("median")).first()
+        assert tuple(out) == (n, n)
+    assert QUERIES["feature_importance"](spark, SF).count() == 5
+    assert seen == [(n, 15)] * 3
+
+
 def test_merge_takes_the_first(spark):
     a = spark.createDataFrame([(1, 1.0), (2, None)], "cell int, v double")
     b = spark.createDataFrame([(2, 5.0, 7.0), (3, 6.0, 8.0)], "cell int, v double, w double")
