@@ -65,7 +65,7 @@ def _tile(k: int):
             low = np.iinfo(np.int64).min
             score[np.flatnonzero(own), at[own]] = low
             n = min(k, score.shape[1])
-            kth = -np.partition(-score, n - 1, axis=1)[:, n - 1] if n < score.shape[1] else score.min(axis=1)
+            kth = np.partition(score, -n, axis=1)[:, -n] if n < score.shape[1] else score.min(axis=1)  # -low would overflow
             for i in range(len(ids)):
                 found = np.flatnonzero(score[i] >= kth[i])  # ties at the k-th score come along, in order of their ids
                 found = found[score[i, found] > low]
