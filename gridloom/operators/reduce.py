@@ -85,4 +85,5 @@ def kde(df: DataFrame, x: str, y: str, points: int = 4000) -> DataFrame:
     pts = s.agg(F.collect_list(F.struct("x", "y")).alias("pts"))  # at most ``points`` structs
     quad = lambda p: ((p.x - F.col("x")) ** 2 * m.yy - 2 * (p.x - F.col("x")) * (p.y - F.col("y")) * m.xy + (p.y - F.col("y")) ** 2 * m.xx) * f / det
     total = F.aggregate("pts", F.lit(0.0), lambda a, p: a + F.exp(-0.5 * quad(p)))
-    return s.join(F.broadcast(pts)).select("x", "y", (total / (m.n * 2 * 3.141592653589793 * det**0.5)).alias("density"))
+    dealt = s.repartition(df.sparkSession.sparkContext.defaultParallelism)  # points squared terms, else in one task
+    return dealt.join(F.broadcast(pts)).select("x", "y", (total / (m.n * 2 * 3.141592653589793 * det**0.5)).alias("density"))

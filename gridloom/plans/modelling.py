@@ -85,4 +85,4 @@ def feature_importance(spark, d):
 
 @query()
 def kde_density(spark, d):
-    return reduce.kde(pairs(spark, d), "o", "p", 800)
+    return reduce.kde(pairs(spark, d), "o", "p")
