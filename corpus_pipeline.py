@@ -11,15 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import exact_dedup, language_id, minhash, packing, queries, secrets, token_file
-from gridloom.llm._common import broadcast_below, cut
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the language models reject, and those without a letter."""
-    found = language_id.identify(docs, queries.language_models(docs))
-    gone = cut(found.filter("not accepted or lang_pred = 'und'").select(F.col("doc_id").alias("__gone")).distinct())
-    rest = docs.filter(F.col("text").isNotNull())
-    return rest.join(broadcast_below(gone, 1_000_000), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti").select(*docs.columns)
+    return language_id.keep_known(docs, queries.language_models(docs)).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

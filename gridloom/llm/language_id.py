@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import logistic, mapped, resident, unit_hash
+from ._common import logistic, mapped, resident, small_batches, unit_hash
 
 ORDER = 5
 MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -284,6 +284,27 @@ def identify(docs: DataFrame, models: Models | None, id_col: str = "doc_id", tex
     return mapped(docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text"), run, "doc_id long, lang_pred string, score double, bits_per_char double, accepted boolean")
 
 
+def keep_known(docs: DataFrame, models: Models | None, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text is accepted and not 'und'; each row by its own text, whatever its id."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+
+    def known(texts):
+        resident("language_id", object)
+        m = shared.value
+        for batch in texts:
+            if m is None:
+                yield pa.array([False] * len(batch), pa.bool_())
+                continue
+            lang, _, _, ok = m.predict(batch.to_pylist())
+            yield pa.array([bool(k) and g != "und" for g, k in zip(lang, ok, strict=True)], pa.bool_())
+
+    from collections.abc import Iterator
+
+    known.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    small_batches(docs.sparkSession)
+    return docs.filter(F.arrow_udf(known, "boolean")(F.col(text_col)))
+
+
 def learnable(docs: DataFrame, held_out: Column) -> DataFrame:
     """The rows to learn from: those that are not held out."""
     return docs.filter(~held_out)
