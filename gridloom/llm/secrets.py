@@ -4,7 +4,9 @@ The base kinds are assignments of credentials, access keys and long hexadecimal
 kind ``random``: runs of ``MIN_RUN`` or more characters of the alphabet of keys whose characters per token, under a tiktoken
 vocabulary, stay below ``max_ratio``. Words of a language, even invented ones, need fewer tokens for their length. Runs that
 mix at most one class of lower case, upper case and digits are not random, and known digests and identifiers are excluded: whole-hex strings (base kind or
-upper-case digest), UUIDs, dates and numbers, and runs that overlap a base span.
+upper-case digest), UUIDs, dates and numbers. What a base span covers is cut out of a run, and the rest is tested. Words around a random string raise
+the mean of the whole run, so in a run that is not random itself neighbouring segments (between ``/``, ``-``, ``_`` and ``=``) that stay below
+``max_ratio`` each are tested as runs of their own. A random string that a word touches without such a separator can still be missed.
 
 Defined cases: a null text is empty and has no span. Offsets count code points, the end is exclusive. Very long texts are scanned in one pass by
 linear patterns, and a run goes to the vocabulary in parts of 64 characters. Repeated rows are scanned alike. Other columns are not looked at.
@@ -12,6 +14,7 @@ linear patterns, and a run goes to the vocabulary in parts of 64 characters. Rep
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -32,6 +35,8 @@ LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 KINDS = ["assign", "access", "hex", "random"]
 MIN_RUN = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: A run is more than one word or key where one of / - _ = stands in it.
+SEGMENT = re.compile(r"[A-Za-z0-9+]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
 DIGEST = re.compile(r"[0-9a-fA-F]+")
 #: Every assignment holds one of these, in lower case.
@@ -48,17 +53,65 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _free(m: re.Match, taken: list[tuple[int, int]]):
+    """The parts of a run, of MIN_RUN or more characters, that the spans (sorted, apart from each other) leave over."""
+    at, end = m.span()
+    for s, e in taken[bisect.bisect_right(taken, at, key=lambda x: x[1]) :]:
+        if s >= end:
+            break
+        if s - at >= MIN_RUN:
+            yield at, s
+        at = e
+    if end - at >= MIN_RUN:
+        yield at, end
+
+
+def _dense(run: str, enc, max_ratio: float) -> bool:
+    return len(run) < max_ratio * sum(len(enc.encode_ordinary(run[i : i + 64])) for i in range(0, len(run), 64))
+
+
+def _mixed(run: str) -> bool:
+    """Neither a digest nor an identifier, and of two classes at least."""
+    if UUID.fullmatch(run) or DIGEST.fullmatch(run):
+        return False
+    return any(c.isdigit() for c in run) + any(c.islower() for c in run) + any(c.isupper() for c in run) >= 2
+
+
+def _chains(run: str, enc, max_ratio: float):
+    """Neighbouring segments of a run, between separators, that are dense each; together MIN_RUN or more characters."""
+    known = [m.span() for m in UUID.finditer(run)]
+    first = last = None
+    for m in SEGMENT.finditer(run):
+        a, b = m.span()
+        whole = b - a >= MIN_RUN and DIGEST.fullmatch(m.group())
+        while known and known[0][1] <= a:
+            known.pop(0)
+        if whole or known and known[0][0] < b or not _dense(m.group(), enc, max_ratio):
+            if first is not None:
+                yield first, last
+            first = None
+        else:
+            first, last = a if first is None else first, b
+    if first is not None:
+        yield first, last
+
+
 def random_spans(text: str, enc, taken: list[tuple[int, int, str]], max_ratio: float) -> list[tuple[int, int, str]]:
-    out = []
+    out, apart = [], []
+    for s, e, _ in sorted(taken):
+        if apart and s <= apart[-1][1]:
+            apart[-1] = (apart[-1][0], max(e, apart[-1][1]))
+        else:
+            apart.append((s, e))
     for m in RUN.finditer(text):
-        run, (a, b) = m.group(), m.span()
-        if any(a < e and s < b for s, e, _ in taken) or UUID.fullmatch(run) or DIGEST.fullmatch(run):
-            continue
-        if any(c.isdigit() for c in run) + any(c.islower() for c in run) + any(c.isupper() for c in run) < 2:
-            continue
-        tokens = sum(len(enc.encode_ordinary(run[i : i + 64])) for i in range(0, len(run), 64))
-        if len(run) / tokens < max_ratio:
-            out.append((a, b, "random"))
+        for a, b in _free(m, apart):
+            run = text[a:b]
+            if not _mixed(run):
+                continue
+            if _dense(run, enc, max_ratio):
+                out.append((a, b, "random"))
+            else:
+                out += [(a + s, a + e, "random") for s, e in _chains(run, enc, max_ratio) if e - s >= MIN_RUN and _mixed(run[s:e])]
     return out
 
 
