@@ -47,7 +47,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Stages train models and tokenise, which SQL cannot express; tests compare with brute force.
+#: Stages train models and tokenise, which SQL cannot express; tests compare operators with brute force
+#: and check the first stage; no test runs all stages.
 ORACLE_SQL = None
 
 
