@@ -1,21 +1,22 @@
 """Toxicity by the nearest labelled examples.
 
-Examples and texts are TF-IDF vectors; the k examples with the highest exact cosine vote with their similarity as weight, and a
-logistic curve fitted on leave-one-out votes turns the vote into a probability. The ids of the voters are the evidence.
+Examples and texts are TF-IDF vectors over words and the beginnings of words (``STEMS`` code points long); the k examples with the highest exact
+cosine vote with their similarity as weight (k is a twentieth of the examples, 15 at least), and a logistic curve turns the vote into a probability. It is fitted on the examples' own votes,
+each without the example itself, so no row votes on its own label. The ids of the nearest voters are the evidence.
 
-Terms are the words of the examples and the beginnings of words (``STEMS`` code points long). Of them the ``max_terms`` with the
-strongest association with the label (a chi-square statistic on document frequencies, in ``min_df`` examples at least) span the
-space of the vectors. A labelled text outside of the examples takes no part in that choice.
+The labels play no part in the vectors: a term counts if at least ``min_df`` examples hold it and no more than ``max_df`` of them do (what most
+texts hold tells them apart least, and has the longest postings). Weights are (1 + ln count) * idf, scaled to norm 1.
 
-The search goes over a block-max inverted index: postings of each term in blocks of ``BLOCK`` examples with the highest weight of
-each. Blocks are scored exactly, in order of their bounds, until no bound exceeds the k-th similarity found.
+The search goes over a block-max inverted index: the postings of each term are cut into blocks of ``BLOCK`` examples, with the highest weight
+of each. A query bounds the cosine of every block by these maxima and scores blocks exactly, the highest bound first, until no bound left exceeds the k-th
+similarity found. Postings of the terms that over ``DENSE`` of the examples hold are kept with their gaps, as arrays over all examples, and
+added up at once. Examples are ordered by their most telling terms before they are cut into blocks, so that like examples stand together.
 
-What is learnt comes from a bounded sample: about ``max_examples`` labelled rows of each class, chosen by a hash of the id. The
-index is bounded by it (in number and by ``max_terms``) and goes to every task. The prior of the classes is
-counted over all labelled rows.
+What is learnt comes from a bounded sample: about ``max_examples`` labelled rows, chosen by a hash of the id, in the ratio that the labels
+have. The index is bounded by the texts of that sample and goes to every task as a broadcast.
 
-Defined cases: a null or empty text, or one with none of the terms, has no neighbours and gets the smoothed probability that a
-labelled example without neighbours is positive. A null label, or one without a text, is not learnt from; with no labelled rows every score is 0. Ties between
+Defined cases: a null or empty text, or one with none of the terms, has no neighbours and gets the smoothed share of positive
+examples among those without neighbours. A null label, or one without a text, is not learnt from; with no labelled rows every score is 0. Ties between
 examples go to the smaller id. Rows repeated are scored alike; a label repeated for an id counts once, the highest. Very long texts are cut
 into words in one pass. An empty table gives an empty result. Other columns are not looked at.
 """
@@ -35,7 +36,11 @@ from ._common import logistic, mapped, unit_hash
 
 WORD = re.compile(r"\w+")
 STEMS = (4, 5, 7)
-BLOCK = 64
+BLOCK = 256
+#: Blocks that are scored before the bounds are looked at again.
+ROUND = 6
+#: Terms that over this share of the examples hold have postings without gaps.
+DENSE = 0.1
 CACHE = 300_000
 
 
@@ -44,157 +49,182 @@ def terms_of(word: str) -> list[str]:
     return [word, *(word[:n] + "~" for n in STEMS if len(word) >= n)]
 
 
+def term_counts(text: str) -> Counter:
+    out: Counter = Counter()
+    for word, c in Counter(WORD.findall(text.lower())).items():
+        for t in terms_of(word):
+            out[t] += c
+    return out
+
+
 class Index:
     """Block-max inverted index of the examples."""
 
-    def __init__(self, ids, docs: list[Counter], labels, k: int = 15, max_terms: int = 3000, min_df: int = 4):
+    def __init__(self, ids, docs: list[Counter], labels, k: int = 200, min_df: int = 3, max_df: float = 0.5):
         self.k = k
-        order = np.argsort(np.asarray(ids), kind="stable")
-        self.ids = np.asarray(ids, np.int64)[order]
-        docs = [docs[i] for i in order]
-        self.y = np.asarray(labels, float)[order]
-        n, pos = len(docs), float(self.y.sum())
-        df, hit = Counter(), Counter()
-        for d, y in zip(docs, self.y, strict=True):
+        df: Counter = Counter()
+        for d in docs:
             df.update(d.keys())
-            if y:
-                hit.update(d.keys())
-        rate = pos / n if n else 0.0
-        strength = {}
-        for t, c in df.items():
-            e = c * rate
-            if c >= min_df and hit[t] > e and 0 < rate < 1:
-                strength[t] = (hit[t] - e) ** 2 / (e * (1 - rate) * (1 - c / (n + 1)))
-        best = sorted((t for t in strength if strength[t] > 15), key=lambda t: (-strength[t], t))[:max_terms]
-        self.terms = {t: i for i, t in enumerate(best)}
-        self.idf = np.array([math.log((n + 1) / (df[t] + 0.5)) for t in best])
+        n = len(docs)
+        kept = sorted(t for t, c in df.items() if c >= min_df and c <= max(max_df * n, min_df))
+        kept.sort(key=lambda t: df[t] <= DENSE * n)  # the common ones first
+        self.common = sum(df[t] > DENSE * n for t in kept)
+        self.terms = {t: i for i, t in enumerate(kept)}
+        self.idf = np.array([math.log((n + 1) / (df[t] + 0.5)) for t in kept])
+        vectors = [self._vector(d) for d in docs]
+        # like examples stand together: by their heaviest common terms
+        share = np.array([df[t] for t in kept])
+        signs = [tuple(at[np.argsort(-share[at], kind="stable")[:3]].tolist()) for at, _ in vectors]
+        order = sorted(range(n), key=lambda i: (signs[i], ids[i]))
+        self.ids = np.array([ids[i] for i in order], np.int64)
+        self.y = np.array([labels[i] for i in order], float)
+        self.vectors = [vectors[i] for i in order]
         blocks = -(-n // BLOCK)
-        self.weights = np.zeros((len(best), blocks * BLOCK), np.float32)
-        self.vectors = []
-        for i, d in enumerate(docs):
-            at, w = self.vector(d)
-            self.vectors.append((at, w))
-            self.weights[at, i] = w
-        self.peak = self.weights.reshape(len(best), blocks, BLOCK).max(axis=2) if len(best) else np.zeros((0, blocks), np.float32)
+        at = np.concatenate([v[0] for v in self.vectors] or [np.zeros(0, np.int64)])
+        who = np.repeat(np.arange(n), [len(v[0]) for v in self.vectors])
+        w = np.concatenate([v[1] for v in self.vectors] or [np.zeros(0, np.float32)])
+        by = np.lexsort((who, at))
+        self.who, self.weight = who[by].astype(np.int32), w[by]
+        cell = at[by] * blocks + self.who // BLOCK
+        self.blocks = blocks
+        self.start = np.searchsorted(cell, np.arange(len(kept) * blocks + 1)).astype(np.int32)
+        self.peak = np.zeros(len(kept) * blocks, np.float32)
+        np.maximum.at(self.peak, cell, self.weight)
+        self.peak = self.peak.reshape(len(kept), blocks)
+        self.dense = np.zeros((self.common, blocks * BLOCK), np.float32)
+        plain = int(np.searchsorted(at[by], self.common))
+        self.dense[at[by][:plain], self.who[:plain]] = self.weight[:plain]
         self.cache: dict[str, tuple] = {}
         self.alone = 0.0
         self.cal = (1.0, 0.0)
-        self.shift = 0.0
 
-    def vector(self, counts) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and weights of norm 1."""
+    def _weigh(self, at: np.ndarray, count: np.ndarray) -> np.ndarray:
+        w = (1 + np.log(count)) * self.idf[at]
+        norm = math.sqrt(float((w * w).sum()))
+        return (w / norm if norm else w).astype(np.float32)
+
+    def _vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers, ascending, and weights of norm 1."""
         found = sorted((self.terms[t], c) for t, c in counts.items() if t in self.terms)
         at = np.array([f[0] for f in found], np.int64)
-        w = np.array([1 + math.log(f[1]) for f in found]) * self.idf[at] if found else np.zeros(0)
-        norm = math.sqrt(float((w * w).sum()))
-        return at, (w / norm if norm else w).astype(np.float32)
-
-    def counts(self, text: str) -> tuple:
-        """((term number, count), ...) of a text; words are looked up once."""
-        cache = self.cache
-        words = Counter(WORD.findall(text.lower()))
-        tally: Counter = Counter()
-        for word, c in words.items():
+        return at, self._weigh(at, np.array([f[1] for f in found], float)) if found else np.zeros(0, np.float32)
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The same of a text; the terms of a word are looked up once."""
+        cache, at, n = self.cache, [], []
+        for word, c in Counter(WORD.findall(text.lower())).items():
             nums = cache.get(word)
             if nums is None:
                 nums = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
                 if len(cache) >= CACHE:
                     cache.clear()
                 cache[word] = nums
-            for i in nums:
-                tally[i] += c
-        return tuple(sorted(tally.items()))
-
-    def of_counts(self, pairs: tuple) -> tuple[np.ndarray, np.ndarray]:
-        at = np.array([p[0] for p in pairs], np.int64)
-        w = np.array([1 + math.log(p[1]) for p in pairs]) * self.idf[at]
-        return at, (w / math.sqrt(float((w * w).sum()))).astype(np.float32)
+            if nums:
+                at += nums
+                n += [c] * len(nums)
+        if not at:
+            return np.zeros(0, np.int64), np.zeros(0, np.float32)
+        terms, place = np.unique(np.array(at, np.int64), return_inverse=True)
+        return terms, self._weigh(terms, np.bincount(place, n))
 
     def nearest(self, at: np.ndarray, w: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples, similarity above 0, ties to the smaller id."""
+        none = np.zeros(0, np.int64), np.zeros(0, np.float32)
+        if not len(at) or not self.blocks:
+            return none
         bound = w @ self.peak[at]
-        best_i, best_s = np.zeros(0, np.int64), np.zeros(0, np.float32)
         order = np.argsort(-bound, kind="stable")
-        for b in order:
-            full = len(best_s) >= self.k
-            if bound[b] <= 0 or (full and bound[b] < best_s[self.k - 1] - 1e-6):
+        order = order[: np.searchsorted(-bound[order], 0)]
+        rare = int(np.searchsorted(at, self.common))
+        score, least = (w[:rare] @ self.dense[at[:rare]]).astype(np.float64), -1.0
+        at, w, open_ = at[rare:], w[rare:], np.zeros(self.blocks, bool)
+        for a in range(0, len(order), ROUND):
+            now = order[a : a + ROUND]
+            now = now[bound[now] >= least - 1e-5]
+            if not len(now):
                 break
-            score = w @ self.weights[at, b * BLOCK : (b + 1) * BLOCK]
-            i = np.flatnonzero(score > 1e-6)
-            score, i = score[i], i + b * BLOCK
+            open_[now] = True
+            cells = at[:, None] * self.blocks + now[None, :]
+            first = self.start[cells].ravel()
+            size = self.start[cells + 1].ravel() - first
+            end = np.cumsum(size)
+            place = np.repeat(first - (end - size), size)
+            place += np.arange(len(place))
+            score += np.bincount(self.who[place], self.weight[place] * np.repeat(np.repeat(w, len(now)), size), len(score))
             if leave >= 0:
-                score, i = score[i != leave], i[i != leave]
-            s, i = np.concatenate([best_s, score]), np.concatenate([best_i, i])
-            top = np.lexsort((i, -s))[: self.k]
-            best_s, best_i = s[top], i[top]
-        return best_i, best_s
-
-    def vote(self, at, w, leave: int = -1) -> tuple[float, np.ndarray]:
+                score[leave] = 0.0
+            known = score.reshape(-1, BLOCK)[open_].ravel()
+            if self.k < len(known):
+                least = float(np.partition(known, len(known) - self.k)[len(known) - self.k])
+        found = np.flatnonzero((score > max(least - 1e-7, 1e-6)) & np.repeat(open_, BLOCK))
+        s = np.round(score[found], 7)  # sums in another order differ in later places
+        top = np.lexsort((self.ids[found], -s))[: self.k]
+        return found[top], s[top].astype(np.float32)
+
+    def vote(self, at, w, leave: int = -1) -> tuple[float | None, np.ndarray]:
         i, s = self.nearest(at, w, leave)
         total = float(s.sum())
-        return (float((s * self.y[i]).sum() + 0.1) / (total + 0.5), i)
+        return (float((s * self.y[i]).sum()) / total if total else None, i)
 
-    def calibrate(self, prior: float) -> None:
-        """prior: the share of positive rows among all labelled rows; the sample holds the classes in another ratio."""
+    def calibrate(self) -> None:
         votes, truth, none = [], [], []
         for n, (at, w) in enumerate(self.vectors):
-            if len(at):
-                votes.append(self.vote(at, w, n)[0])
-                truth.append(self.y[n])
-            else:
-                none.append(self.y[n])
-        rate = min(max(float(self.y.mean()), 1e-3), 1 - 1e-3) if len(self.y) else 0.5
-        prior = min(max(prior, 1e-4), 1 - 1e-4)
-        self.shift = math.log(prior / (1 - prior)) - math.log(rate / (1 - rate))
+            v, _ = self.vote(at, w, n)
+            (none if v is None else truth).append(self.y[n])
+            if v is not None:
+                votes.append(v)
         if votes:
             self.cal = logistic(votes, np.array(truth) > 0.5)
-        p = (sum(none) + prior) / (len(none) + 1) if none else prior
-        self.alone = float(1 / (1 + math.exp(-(math.log(max(p, 1e-6) / max(1 - p, 1e-6)) + self.shift))))
-
-    def score(self, text: str | None) -> tuple[float, list[int]]:
-        pairs = self.counts(text or "")
-        if not pairs:
-            return self.alone, []
-        v, who = self.vote(*self.of_counts(pairs))
-        if not len(who):
-            return self.alone, []
-        x = self.cal[0] * v + self.cal[1] + self.shift
-        return float(1 / (1 + math.exp(-min(max(x, -40.0), 40.0)))), self.ids[who].tolist()
-
-
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = 1500, k: int = 15, seed: int = 23) -> Index | None:
-    """The index of about ``max_examples`` labelled rows of each class. ``labels`` holds the rows to learn from only."""
+        rate = float(self.y.mean()) if len(self.y) else 0.0
+        self.alone = float((sum(none) + rate) / (len(none) + 1))
+
+    def score(self, text: str | None) -> tuple[float, np.ndarray]:
+        at, w = self.vector(text or "")
+        v, who = self.vote(at, w)
+        if v is None:
+            return self.alone, self.ids[:0]
+        x = self.cal[0] * v + self.cal[1]
+        return float(1 / (1 + math.exp(-min(max(x, -40.0), 40.0)))), self.ids[who]
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = 4000, k: int = 200, seed: int = 23) -> Index | None:
+    """The index of about ``max_examples`` labelled rows; ``k`` neighbours at most vote. ``labels`` holds the rows to learn from only."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__y"))
     known = known.withColumn("__y", (F.col("__y") > 0).cast("int"))
-    sizes = {r[0]: r[1] for r in known.groupBy("__y").count().collect()}
-    if not sizes:
+    size = known.count()
+    if not size:
         return None
-    share = F.when(F.col("__y") == 1, F.lit(min(1.0, max_examples / max(sizes.get(1, 0), 1)))).otherwise(F.lit(min(1.0, max_examples / max(sizes.get(0, 0), 1))))
-    chosen = F.broadcast(known.filter(unit_hash("__id", seed) < share))  # about 2 * max_examples ids: a proven bound
+    chosen = F.broadcast(known.filter(unit_hash("__id", seed) < min(1.0, max_examples / size)))  # about max_examples ids: a proven bound
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text")).join(chosen, "__id").filter(F.col("text").isNotNull())
 
     def count(batches):
         for b in batches:
-            out = [Counter(t for w, c in Counter(WORD.findall(x.lower())).items() for t in terms_of(w) * c) for x in b.column(1).to_pylist()]
+            out = [term_counts(x) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"id": b.column(0), "y": b.column(2), "terms": pa.array([list(c) for c in out], pa.list_(pa.string())), "n": pa.array([list(c.values()) for c in out], pa.list_(pa.int32()))})
 
     table = mapped(rows.select("__id", "text", "__y"), count, "id long, y int, terms array<string>, n array<int>").toArrow()
     seen = {}
     for i, y, t, n in zip(*(table.column(c).to_pylist() for c in ("id", "y", "terms", "n")), strict=True):
-        seen.setdefault(i, (Counter(dict(zip(t, n, strict=True))), y))
-    index = Index(list(seen), [s[0] for s in seen.values()], [s[1] for s in seen.values()], k)
-    index.calibrate(sizes.get(1, 0) / sum(sizes.values()))
+        c = Counter(dict(zip(t, n, strict=True)))
+        if i not in seen or sorted(c.items()) < sorted(seen[i][0].items()):  # an id with several texts: the same one whatever the partitions
+            seen[i] = c, y
+    if not seen:
+        return None
+    ids = sorted(seen)
+    index = Index(ids, [seen[i][0] for i in ids], [seen[i][1] for i in ids], min(k, max(15, len(ids) // 20)))
+    index.calibrate()
+    index.cache, index.vectors = {}, []
     return index
 
 
-def score(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score, predicted and evidence (ids of the nearest labelled examples) for each row of docs."""
+def score(docs: DataFrame, index: Index | None, id_col: str = "doc_id", text_col: str = "text", evidence: int = 15) -> DataFrame:
+    """doc_id, score, predicted and evidence (ids of the nearest labelled examples, the nearest first) for each row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
         model = shared.value
         for b in batches:
             got = [model.score(t) if model else (0.0, []) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "score": pa.array([g[0] for g in got], pa.float64()), "predicted": pa.array([int(g[0] >= 0.5) for g in got], pa.int32()), "evidence": pa.array([g[1] for g in got], pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "score": pa.array([g[0] for g in got], pa.float64()), "predicted": pa.array([int(g[0] >= 0.5) for g in got], pa.int32()), "evidence": pa.array([g[1][:evidence] for g in got], pa.list_(pa.int64()))})
 
     return mapped(docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text"), run, "doc_id long, score double, predicted int, evidence array<long>")

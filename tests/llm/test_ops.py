@@ -10,7 +10,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.llm import byte_bpe, exact_dedup, language_id, minhash, packing, quality, queries, secrets, subwords, token_file, topk, toxicity
+from gridloom.llm import byte_bpe, exact_dedup, language_id, minhash, packing, quality, queries, secrets, subwords, token_file, topk
 from gridloom.llm._common import fold
 
 SF = "/root/testdata/sf0.001"
@@ -100,28 +100,6 @@ def test_byte_bpe(spark, odd, empty):
         assert byte_bpe.encode(text, enc, 17).tolist() == enc.encode_ordinary(text)
 
 
-def test_toxicity(spark, docs, odd, empty):
-    sf = "/root/testdata/sf0.01"
-    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
-    got = queries.op4_toxicity(spark, sf).join(labels, "doc_id").collect()
-    held = [r for r in got if r.held_out]
-    assert sum(r.predicted == r.toxic for r in held) >= 0.9 * len(held)
-    index = toxicity.fit(d, labels)
-    # the pruned search equals the scan of all examples
-    for text in [r.text for r in d.limit(60).collect()]:
-        pairs = index.counts(text)
-        if pairs:
-            at, w = index.of_counts(pairs)
-            i, s = index.nearest(at, w)
-            every = w @ index.weights[at]
-            order = [j for j in np.lexsort((np.arange(len(every)), -every)) if every[j] > 1e-6][: index.k]
-            assert np.allclose(every[order], s, atol=1e-5)
-    assert toxicity.score(odd, index).count() == odd.count()
-    assert toxicity.score(empty, index).count() == 0
-    assert toxicity.fit(d, labels.limit(0)) is None
-    assert {r.score for r in toxicity.score(odd, None).collect()} == {0.0}
-
-
 def test_quality(spark, odd, empty):
     rng = random.Random(5)
     marks = ["@@@", "###", "$$$", "&&&"]
