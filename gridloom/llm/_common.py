@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that tune persistence)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +13,15 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: the session's ``spark.checkpoint.dir``, else (tests only) a new temporary folder."""
+    """The shared folder for cut lineage: the session's ``spark.checkpoint.dir``, else (only where all runs on this machine, as in tests) a new
+    temporary folder. On a cluster without that setting it is an error: a folder of the driver's would not be seen by executors."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         known = current.get() if current.isDefined() else None
         if not known:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir names no shared folder")
             known = "file://" + tempfile.mkdtemp(prefix="gridloom-")
             spark.sparkContext.setCheckpointDir(known)
     elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -75,6 +78,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written to the shared store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def broadcast_below(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast only if a count proves it has at most ``max_rows`` rows (rows here are a few words wide)."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
