@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import broadcast_below, cut, mapped, resident
+from ._common import broadcast_below, cut, free_name, mapped, resident
 
 BANDS, ROWS = 30, 5
 BINS = BANDS * ROWS
@@ -41,6 +41,8 @@ FEW = 2_000_000
 PARTS = 128
 #: A bucket or class with over this share of the rows is joined by broadcast; there are at most 1 / share of them (by band).
 HOT_SHARE = 1e-3
+#: Classes of one bucket whose pairs are looked at in one task.
+PART = 512
 
 
 class Shingler:
@@ -132,38 +134,58 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, tex
     return mapped(rows, run, "rep long, set_a long, items array<long>")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, n_a, n_b) whose full sets have 100 * intersection >= percent * union.
+def attach(pairs: DataFrame, side: str, sets: DataFrame) -> DataFrame:
+    """pairs with the set of their ``side`` as ``items_<side>``.
 
-    A centre can have many partners, so its set is joined under a salt of the partner's id: at most ``SALT`` partners' share of
-    the pairs of one centre meet in a task, and a set is copied only as often as its centre's pairs need.
+    A class can have many partners, so its set is joined under a salt of the partner's id: about 256 pairs of one class meet in a task, and a
+    set is copied only as often as its pairs need.
     """
+    other = "b" if side == "a" else "a"
+    per = cut(pairs.groupBy(side).agg(F.count("*").alias("c")).select(side, F.least(F.ceil(F.col("c") / 256), F.lit(4096)).cast("int").alias("parts")))
+    many = broadcast_below(per.filter("parts > 1"), FEW)
+    salt = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(other), F.col("parts").cast("long"))).otherwise(F.lit(0).cast("long"))
+    salted = pairs.join(many, side, "left").withColumn("salt", salt).drop("parts")
+    copies = sets.select(F.col("rep").alias(side), F.col("items").alias(f"items_{side}")).join(per, side)
+    copies = copies.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1).cast("array<long>"))).drop("parts")
+    return salted.join(copies.hint("merge"), [side, "salt"]).drop("salt")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) whose full sets have 100 * intersection >= percent * union."""
     near = pairs.filter("100 * least(n_a, n_b) >= {0} * greatest(n_a, n_b)".format(percent))
-    per = near.groupBy("a").agg(F.count("*").alias("c")).withColumn("parts", F.least(F.ceil(F.col("c") / 256), F.lit(1024)).cast("int"))
-    salted = near.join(per.select("a", "parts"), "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts").cast("long")))
-    left = sets.select(F.col("rep").alias("a"), F.col("items").alias("items_a")).join(per.select("a", "parts"), "a")
-    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1).cast("array<long>"))).drop("parts")
-    both = salted.join(left.hint("merge"), ["a", "salt"]).select("a", "b", "n_a", "n_b", "items_a")
-    both = both.join(sets.select(F.col("rep").alias("b"), F.col("items").alias("items_b")).hint("merge"), "b")
+    both = attach(attach(near, "a", sets), "b", sets)
     same = F.size(F.array_intersect("items_a", "items_b"))
     return both.filter(same * 100 >= (F.col("n_a") + F.col("n_b") - same) * percent).select("a", "b").distinct()
 
 
-def components(links: DataFrame, label: DataFrame | None = None) -> DataFrame:
-    """node, comp: the smallest node of each component of the links (a, b). Nodes without a link are not listed."""
+def joined_hot(rows: DataFrame, facts: DataFrame, key: str, limit: int, weight: str) -> DataFrame:
+    """rows joined with one fact for each value of ``key``. Values that stand in over ``limit`` rows (``weight``, a column of facts) are joined by
+    broadcast: at most count / limit of them; the others by a shuffle, none over ``limit`` rows."""
+    hot = F.broadcast(facts.filter(F.col(weight) > limit))
+    cold = facts.filter(F.col(weight) <= limit)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key)).drop(weight)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node, comp: the smallest node of each component of the links (a, b). Nodes without a link are not listed.
+
+    A hub with a large share of the links, or a component with a large share of the nodes, is no single task: see ``joined_hot``.
+    """
     both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    now = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp")))
+    limit = int(both.count() * HOT_SHARE) + 16
+    now = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp"), F.count("*").alias("degree")))
     while True:
         # the least label of the neighbours, then the label of that label
-        around = both.join(now.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("around"))
-        low = now.join(around, "node").select("node", F.least("comp", "around").alias("comp"), F.col("comp").alias("was"))
-        low = cut(low)
-        jump = low.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        after = cut(low.join(jump, "comp").select("node", F.least("comp", "next").alias("comp"), "was"))
+        labels = now.select(F.col("node").alias("b"), "comp", "degree")
+        around = joined_hot(both, labels, "b", limit, "degree").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("around"))
+        low = cut(now.join(around, "node").select("node", F.least("comp", "around").alias("comp"), F.col("comp").alias("was"), "degree"))
+        sizes = low.groupBy("comp").agg(F.count("*").alias("size"))
+        jump = cut(sizes.join(low.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp"))
+        after = cut(joined_hot(low, jump, "comp", limit, "size").select("node", F.least("comp", "next").alias("comp"), "was", "degree"))
         moved = after.filter("comp <> was").limit(1).count()
-        now = after.select("node", "comp")
+        now = after.select("node", "comp", "degree")
         if not moved:
-            return now
+            return now.select("node", "comp")
 
 
 def bounds(sets: DataFrame) -> DataFrame:
@@ -197,13 +219,17 @@ def residual(buckets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     rows = buckets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     open_ = rows.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
     rows = cut(rows.join(open_, "key"))
-    side = lambda x: rows.select("key", "band", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "u", "comp", "bands", "hist")))
+    # a bucket with many classes is dealt over parts of about PART classes: side a by a salt of its own, side b to every part
+    parts = rows.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > PART).select("key", F.ceil(F.col("m") / PART).cast("int").alias("parts"))
+    rows = rows.join(broadcast_below(parts, FEW), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    side = lambda x, salt: rows.select("key", "band", salt.alias("salt"), *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "u", "comp", "bands", "hist")))
     most = "aggregate(zip_with(hist_a, hist_b, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
     on = f"""rep_a < rep_b and comp_a <> comp_b and {linkable("n_a", "u_a", "n_b", "u_b", percent)}
         and array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band_a + 1
         and 100 * {most} >= {percent} * (n_a + n_b - {most})"""
-    a, b = side("a").withColumnsRenamed({"key": "key_a", "band": "band_a"}), side("b").drop("band")
-    pairs = a.hint("merge").join(b, F.expr(f"key_a = key and {on}"))
+    a = side("a", F.pmod(F.xxhash64("rep"), F.col("parts").cast("long")).cast("int")).withColumnsRenamed({"key": "key_a", "band": "band_a", "salt": "salt_a"})
+    b = side("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("band")
+    pairs = a.hint("merge").join(b, F.expr(f"key_a = key and salt_a = salt and {on}"))
     return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "n_a", "n_b")
 
 
@@ -245,5 +271,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without all rows but one of each component, all columns kept; rows that repeat a kept id stay."""
-    gone = cut(near_duplicates(docs, size, percent, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(broadcast_below(gone, FEW), F.col(id_col) == F.col("__gone"), "left_anti")
+    name = free_name(docs, "__gone")
+    gone = cut(near_duplicates(docs, size, percent, id_col, text_col).filter("not kept").select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(broadcast_below(gone, FEW), F.col(id_col) == F.col(name), "left_anti")
