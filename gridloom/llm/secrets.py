@@ -3,8 +3,8 @@
 The base kinds are assignments of credentials, access keys and long hexadecimal strings, by pattern. The test adds spans of
 kind ``random``: runs of ``MIN_RUN`` or more characters of the alphabet of keys whose characters per token, under a tiktoken
 vocabulary, stay below ``max_ratio``. Words of a language, even invented ones, need fewer tokens for their length. Runs that
-mix at most one class of lower case, upper case and digits are not random, and known digests and identifiers are excluded: whole-hex strings (base kind or
-upper-case digest), UUIDs, dates and numbers. What a base span covers is cut out of a run, and the rest is tested. Words around a random string raise
+mix at most one class of lower case, upper case and digits are not random. Known digests and identifiers are cut out of a run wherever they stand in it: UUIDs, hexadecimal
+strings of 32 or more characters, digests of subresource integrity (``sha256-...``), dates and times. So is what a base span covers; the rest is tested. Words around a random string raise
 the mean of the whole run, so in a run that is not random itself neighbouring segments (between ``/``, ``-``, ``_`` and ``=``) that stay below
 ``max_ratio`` each are tested as runs of their own. A random string that a word touches without such a separator can still be missed.
 
@@ -37,7 +37,11 @@ MIN_RUN = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: A run is more than one word or key where one of / - _ = stands in it.
 SEGMENT = re.compile(r"[A-Za-z0-9+]+")
-UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
+#: Known digests and identifiers.
+KNOWN = re.compile(
+    r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9a-fA-F]{32,}|[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9]+Z?)?)(?![0-9A-Za-z])"
+    r"|sha256-[A-Za-z0-9+/]{43}=|sha384-[A-Za-z0-9+/]{64}|sha512-[A-Za-z0-9+/]{86}=="
+)
 DIGEST = re.compile(r"[0-9a-fA-F]+")
 #: Every assignment holds one of these, in lower case.
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -53,15 +57,14 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def _free(m: re.Match, taken: list[tuple[int, int]]):
+def _free(at: int, end: int, taken):
     """The parts of a run, of MIN_RUN or more characters, that the spans (sorted, apart from each other) leave over."""
-    at, end = m.span()
-    for s, e in taken[bisect.bisect_right(taken, at, key=lambda x: x[1]) :]:
+    for s, e in taken:
         if s >= end:
             break
         if s - at >= MIN_RUN:
             yield at, s
-        at = e
+        at = max(at, e)
     if end - at >= MIN_RUN:
         yield at, end
 
@@ -71,22 +74,18 @@ def _dense(run: str, enc, max_ratio: float) -> bool:
 
 
 def _mixed(run: str) -> bool:
-    """Neither a digest nor an identifier, and of two classes at least."""
-    if UUID.fullmatch(run) or DIGEST.fullmatch(run):
+    """No digest, and of two classes at least."""
+    if DIGEST.fullmatch(run):
         return False
     return any(c.isdigit() for c in run) + any(c.islower() for c in run) + any(c.isupper() for c in run) >= 2
 
 
 def _chains(run: str, enc, max_ratio: float):
     """Neighbouring segments of a run, between separators, that are dense each; together MIN_RUN or more characters."""
-    known = [m.span() for m in UUID.finditer(run)]
     first = last = None
     for m in SEGMENT.finditer(run):
         a, b = m.span()
-        whole = b - a >= MIN_RUN and DIGEST.fullmatch(m.group())
-        while known and known[0][1] <= a:
-            known.pop(0)
-        if whole or known and known[0][0] < b or not _dense(m.group(), enc, max_ratio):
+        if b - a >= MIN_RUN and DIGEST.fullmatch(m.group()) or not _dense(m.group(), enc, max_ratio):
             if first is not None:
                 yield first, last
             first = None
@@ -104,7 +103,9 @@ def random_spans(text: str, enc, taken: list[tuple[int, int, str]], max_ratio: f
         else:
             apart.append((s, e))
     for m in RUN.finditer(text):
-        for a, b in _free(m, apart):
+        begin, end = m.span()
+        held = apart[bisect.bisect_right(apart, begin, key=lambda x: x[1]) :]
+        for a, b in (part for x in _free(begin, end, held) for part in _free(*x, [k.span() for k in KNOWN.finditer(text, *x)])):
             run = text[a:b]
             if not _mixed(run):
                 continue
