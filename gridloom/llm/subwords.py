@@ -4,7 +4,8 @@ Both vocabularies in use split a text into pieces that are merged one by one, an
 piece. So a text is cut at its spaces, and the ids of each chunk are kept: what the library has encoded once is not
 encoded again. A chunk that is not known goes through the normaliser, the pre-tokenizer and the model of the library itself; for a run of
 Latin letters with at most a full stop or comma after it the two first are a table, made by the library letter by letter. A
-text in which white space stands on both sides of a space, or before one at its end, is given to the library whole.
+text in which white space stands on both sides of a space, or before one at its end, is given to the library whole, and so is one that holds
+an added token such as ``<|endoftext|>`` literally: its id is what the library's plain call gives. With ``literal`` such strings are ordinary text.
 
 Memory is bounded by ``LIMIT`` chunks and ``PIECES`` of their pieces; after that nothing more is kept (what is frequent comes early).
 """
@@ -30,12 +31,13 @@ UNSAFE = re.compile(r"[\s\u180e\u200b\ufeff] [\s\u180e\u200b\ufeff]|[\s\u180e\u2
 class Subwords:
     """The ids of texts as little-endian unsigned integers of ``width`` bytes (2 if the vocabulary allows it, else 4)."""
 
-    def __init__(self, file: str, keeps_space: bool):
+    def __init__(self, file: str, keeps_space: bool, literal: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(file)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = literal
+        self.added = () if literal else tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
         self.model, self.norm, self.pre = self.tok.model, self.tok.normalizer, self.tok.pre_tokenizer
         self.space = " " if keeps_space else ""
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
@@ -75,7 +77,7 @@ class Subwords:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.space and UNSAFE.search(text):
+        if self.space and UNSAFE.search(text) or any(t in text for t in self.added):
             return self.whole(text)
         if self.space:
             first, *rest = text.split(" ")
@@ -97,5 +99,5 @@ class Subwords:
             return b"".join(out)
 
 
-def subwords(file: str, keeps_space: bool) -> Subwords:
-    return resident(("subwords", file, keeps_space), lambda: Subwords(file, keeps_space))
+def subwords(file: str, keeps_space: bool, literal: bool = False) -> Subwords:
+    return resident(("subwords", file, keeps_space, literal), lambda: Subwords(file, keeps_space, literal))

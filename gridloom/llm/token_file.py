@@ -114,22 +114,36 @@ class Block:
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.ends.get(i - 1) if i else 0 : self.ends.get(i)]
 
+    def find(self, doc_id: int) -> range:
+        """The places of the documents with an id, by binary search with selects."""
+        want, n = doc_id - self.least, self.keys.n
+
+        def below(x: int) -> int:
+            lo, hi = 0, n
+            while lo < hi:
+                mid = (lo + hi) // 2
+                lo, hi = (mid + 1, hi) if self.keys.get(mid) < x else (lo, mid)
+            return lo
+
+        return range(self.nulls + below(want), self.nulls + below(want + 1)) if want >= 0 else range(0)
+
     def doc_ids(self) -> list:
         return [None] * self.nulls + [int(k) + self.least for k in self.keys.all()]
 
 
-def write_tokens(docs: DataFrame, path: str, file: str, end_id: int, keeps_space: bool = True, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> None:
-    """Encode the texts of docs, each followed by ``end_id``, and write the blocks to ``path``."""
+def write_tokens(docs: DataFrame, path: str, file: str, end_id: int, keeps_space: bool = True, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None, literal: bool = False) -> None:
+    """Encode the texts of docs, each followed by ``end_id``, and write the blocks to ``path``. ``literal``: added tokens in a text are ordinary text."""
 
     def run(batches):
-        sub = subwords(file, keeps_space)
+        sub = subwords(file, keeps_space, literal)
         tail = np.array([end_id], sub.dtype).tobytes()
         shard = TaskContext.get().partitionId()
         keys, ids, size, base, number = [], [], 0, 0, 0
 
         def block():
             nonlocal keys, ids, size, base, number
-            row = pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "block": pa.array([number], pa.int32()), "base": pa.array([base], pa.int64()), "n_docs": pa.array([len(keys)], pa.int64()), "n_ids": pa.array([size], pa.int64()), "data": pa.array([pack_block(keys, ids, sub.width)], pa.binary())})
+            known = [k for k in keys if k is not None] or [None]
+            row = pa.RecordBatch.from_pydict({"first_id": pa.array(known[:1], pa.int64()), "last_id": pa.array(known[-1:], pa.int64()), "shard": pa.array([shard], pa.int32()), "block": pa.array([number], pa.int32()), "base": pa.array([base], pa.int64()), "n_docs": pa.array([len(keys)], pa.int64()), "n_ids": pa.array([size], pa.int64()), "data": pa.array([pack_block(keys, ids, sub.width)], pa.binary())})
             keys, ids, size, base, number = [], [], 0, base + size, number + 1
             return row
 
@@ -147,7 +161,7 @@ def write_tokens(docs: DataFrame, path: str, file: str, end_id: int, keeps_space
     rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").withColumn("h", F.xxhash64("text"))
     dealt = rows.repartitionByRange(shards, "doc_id", "h") if shards else rows.repartitionByRange("doc_id", "h")
     ordered = dealt.sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    mapped(ordered, run, "shard int, block int, base long, n_docs long, n_ids long, data binary").write.mode("errorifexists").parquet(path)
+    mapped(ordered, run, "first_id long, last_id long, shard int, block int, base long, n_docs long, n_ids long, data binary").write.mode("errorifexists").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -171,6 +185,24 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     return mapped(rows, run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
+def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """doc_id and ids (unsigned 32-bit, little-endian) of the documents with some ids, a row for each document. Only blocks whose range of ids holds one of
+    them are opened (a filter that reaches the scan), and in a block each document is found by selects, without decoding the others."""
+    wanted = sorted(set(doc_ids))
+    if not wanted:
+        return spark.createDataFrame([], "doc_id long, ids binary")
+
+    def run(batches):
+        for batch in batches:
+            for blob in batch.column(0):
+                b = Block(blob.as_py())
+                found = [(d, b.document(i).astype("<u4").tobytes()) for d in wanted for i in b.find(d)]
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([f[0] for f in found], pa.int64()), "ids": pa.array([f[1] for f in found], pa.binary())})
+
+    blocks = spark.read.parquet(path).filter((F.col("last_id") >= wanted[0]) & (F.col("first_id") <= wanted[-1]))
+    return mapped(blocks.select("data"), run, "doc_id long, ids binary")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new folder in the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
