@@ -23,10 +23,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import logistic, mapped, resident, small_batches, unit_hash
+from ._common import cut, logistic, mapped, resident, small_batches, unit_hash
 
 ORDER = 5
 MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -237,14 +237,15 @@ def grams_of(text: str) -> Counter:
 
 def fit(learn: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 600, cal_docs: int = 250, seed: int = 11) -> Models:
     """Models from a sample of the rows of ``learn``: about ``max_docs`` texts for the counts and ``cal_docs`` for the calibration, by language."""
-    rows = learn.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    rows = learn.filter(F.col(lang_col).isNotNull())
+    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}  # reads no texts
     langs = sorted(sizes)
     if not langs:
         return None
     share = F.create_map(*[x for g in langs for x in (F.lit(g), F.lit(min(1.0, (max_docs + cal_docs) / sizes[g])))])[F.col(lang_col)]
     u = unit_hash(id_col, seed) / share
-    sample = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), (u < max_docs / (max_docs + cal_docs)).alias("for_counts"), (u < 1).alias("chosen")).filter("chosen")
+    sample = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), (u < max_docs / (max_docs + cal_docs)).alias("for_counts"), (u < 1).alias("chosen")).filter("chosen and text is not null")
+    sample = cut(sample.select("lang", "text", "for_counts"))  # bounded; the table is read once for counts and calibration
 
     def count(batches):
         resident("language_id", object)  # frees what another operator has left in this worker
@@ -304,7 +305,3 @@ def keep_known(docs: DataFrame, models: Models | None, text_col: str = "text") -
     small_batches(docs.sparkSession)
     return docs.filter(F.arrow_udf(known, "boolean")(F.col(text_col)))
 
-
-def learnable(docs: DataFrame, held_out: Column) -> DataFrame:
-    """The rows to learn from: those that are not held out."""
-    return docs.filter(~held_out)
