@@ -1,7 +1,7 @@
 """Quality by ordinal cumulative-link regression on graded ratings.
 
 P(grade > j) = logistic(w . x - t_j) with one weight vector w over hashed text features and ordered thresholds t_0 <= t_1 <= ....
-The features are hashed character trigrams, words and the texts' punctuation among them, as square roots of their shares in the text. The fit is a
+The features are hashed character trigrams (of letters, spaces and punctuation alike), as square roots of their shares in the text. The fit is a
 full-batch gradient descent (Adam) on the ordinal likelihood with an L2 penalty; the thresholds are kept in order by learning their
 gaps as exponentials. A result is the expected grade and the tail probability P(grade >= ``tail_grade``), by which rows are selected.
 
