@@ -41,8 +41,6 @@ FEW = 2_000_000
 PARTS = 128
 #: A bucket or class with over this share of the rows is joined by broadcast; there are at most 1 / share of them (by band).
 HOT_SHARE = 1e-3
-#: Classes of one bucket whose pairs are looked at in one task.
-PART = 512
 
 
 class Shingler:
@@ -219,17 +217,13 @@ def residual(buckets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     rows = buckets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     open_ = rows.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
     rows = cut(rows.join(open_, "key"))
-    # a bucket with many classes is dealt over parts of about PART classes: side a by a salt of its own, side b to every part
-    parts = rows.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > PART).select("key", F.ceil(F.col("m") / PART).cast("int").alias("parts"))
-    rows = rows.join(broadcast_below(parts, FEW), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    side = lambda x, salt: rows.select("key", "band", salt.alias("salt"), *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "u", "comp", "bands", "hist")))
+    side = lambda x: rows.select("key", "band", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "u", "comp", "bands", "hist")))
     most = "aggregate(zip_with(hist_a, hist_b, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
     on = f"""rep_a < rep_b and comp_a <> comp_b and {linkable("n_a", "u_a", "n_b", "u_b", percent)}
         and array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band_a + 1
         and 100 * {most} >= {percent} * (n_a + n_b - {most})"""
-    a = side("a", F.pmod(F.xxhash64("rep"), F.col("parts").cast("long")).cast("int")).withColumnsRenamed({"key": "key_a", "band": "band_a", "salt": "salt_a"})
-    b = side("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("band")
-    pairs = a.hint("merge").join(b, F.expr(f"key_a = key and salt_a = salt and {on}"))
+    a, b = side("a").withColumnsRenamed({"key": "key_a", "band": "band_a"}), side("b").drop("band")
+    pairs = a.hint("merge").join(b, F.expr(f"key_a = key and {on}"))  # a hot bucket is split by the adaptive skew join
     return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "n_a", "n_b")
 
 

@@ -155,11 +155,10 @@ def test_components_of_hubs_and_chains(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("few", [0, 10**6])
-def test_near_duplicates_by_shuffles_and_in_parts(spark, monkeypatch, few):
+def test_near_duplicates_by_shuffles(spark, monkeypatch, few):
     from test_ops import brute_components, words
 
     monkeypatch.setattr(minhash, "FEW", few)
-    monkeypatch.setattr(minhash, "PART", 7)
     rng = random.Random(11)
     base, rows = words(rng, 60, 4000).split(), []
     for k in range(60):
