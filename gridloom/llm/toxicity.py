@@ -35,13 +35,12 @@ from pyspark.sql import functions as F
 from ._common import logistic, mapped, unit_hash
 
 WORD = re.compile(r"\w+")
-STEMS = (4, 5, 7)
+STEMS = (4, 6)
 BLOCK = 256
 #: Blocks that are scored before the bounds are looked at again.
-ROUND = 6
+ROUND = 8
 #: Terms that over this share of the examples hold have postings without gaps.
 DENSE = 0.1
-CACHE = 300_000
 
 
 def terms_of(word: str) -> list[str]:
@@ -94,7 +93,9 @@ class Index:
         self.dense = np.zeros((self.common, blocks * BLOCK), np.float32)
         plain = int(np.searchsorted(at[by], self.common))
         self.dense[at[by][:plain], self.who[:plain]] = self.weight[:plain]
-        self.cache: dict[str, tuple] = {}
+        self.whole = {t: i for t, i in self.terms.items() if not t.endswith("~")}
+        self.starts = [(n, {t[:-1]: i for t, i in self.terms.items() if t.endswith("~") and len(t) == n + 1}) for n in STEMS]
+        self.words: dict[str, tuple] = {}
         self.alone = 0.0
         self.cal = (1.0, 0.0)
 
@@ -110,15 +111,18 @@ class Index:
         return at, self._weigh(at, np.array([f[1] for f in found], float)) if found else np.zeros(0, np.float32)
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The same of a text; the terms of a word are looked up once."""
-        cache, at, n = self.cache, [], []
+        """The same of a text; the terms of a word that an example holds are looked up once."""
+        words, whole, starts, at, n = self.words, self.whole, self.starts, [], []
         for word, c in Counter(WORD.findall(text.lower())).items():
-            nums = cache.get(word)
+            nums = words.get(word)
             if nums is None:
-                nums = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
-                if len(cache) >= CACHE:
-                    cache.clear()
-                cache[word] = nums
+                i = whole.get(word)
+                nums = [] if i is None else [i]
+                for size, known in starts:
+                    if len(word) >= size and (j := known.get(word[:size])) is not None:
+                        nums.append(j)
+                if i is not None:
+                    words[word] = tuple(nums)
             if nums:
                 at += nums
                 n += [c] * len(nums)
@@ -148,8 +152,8 @@ class Index:
             first = self.start[cells].ravel()
             size = self.start[cells + 1].ravel() - first
             end = np.cumsum(size)
-            place = np.repeat(first - (end - size), size)
-            place += np.arange(len(place))
+            place = np.repeat(first - (end - size).astype(np.int32), size)
+            place += np.arange(len(place), dtype=np.int32)
             score += np.bincount(self.who[place], self.weight[place] * np.repeat(np.repeat(w, len(now)), size), len(score))
             if leave >= 0:
                 score[leave] = 0.0
@@ -187,7 +191,7 @@ class Index:
         return float(1 / (1 + math.exp(-min(max(x, -40.0), 40.0)))), self.ids[who]
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = 2500, k: int = 200, seed: int = 23) -> Index | None:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = 2000, k: int = 200, seed: int = 23) -> Index | None:
     """The index of about ``max_examples`` labelled rows; ``k`` neighbours at most vote. ``labels`` holds the rows to learn from only."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__y"))
     known = known.withColumn("__y", (F.col("__y") > 0).cast("int"))
@@ -213,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = sorted(seen)
     index = Index(ids, [seen[i][0] for i in ids], [seen[i][1] for i in ids], min(k, max(15, len(ids) // 20)))
     index.calibrate()
-    index.cache, index.vectors = {}, []
+    index.words, index.vectors = {}, []
     return index
 
 

@@ -19,7 +19,7 @@ def brute(texts, query, k, min_df, max_df):
     def terms(text):
         out = Counter()
         for w in re.findall(r"\w+", text.lower()):
-            out.update([w] + [w[:n] + "~" for n in (4, 5, 7) if len(w) >= n])
+            out.update([w] + [w[:n] + "~" for n in (4, 6) if len(w) >= n])
         return out
 
     bags = [terms(t) for t in texts]
