@@ -65,3 +65,20 @@ def strip_suffix(c: Column, *suffixes: str) -> Column:
 def number_with_unit(c: Column) -> Column:
     """'12.5m' as 12.5; NULL if it is no number."""
     return c.substr(F.lit(1), F.length(c) - 1).try_cast("double")
+
+
+def looked_up(c: Column, table: dict, default=None) -> Column:
+    """The entry of a fixed table for a key, as a map literal."""
+    found = F.create_map(*(F.lit(x) for kv in table.items() for x in kv))[c]
+    return found if default is None else F.coalesce(found, F.lit(default))
+
+
+def without_end(c: Column, n: int) -> Column:
+    """All but the last n characters."""
+    return F.substr(c, F.lit(1), F.greatest(F.length(c) - n, F.lit(0)))
+
+
+def from_end(c: Column, first: int, last: int) -> Column:
+    """The characters from the first-last to the last-last one, the latter left out (as in the slice ``[-first:-last]``)."""
+    start = F.greatest(F.length(c) - first, F.lit(0))
+    return F.substr(c, start + 1, F.greatest(F.length(c) - last - start, F.lit(0)))

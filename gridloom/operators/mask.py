@@ -25,10 +25,29 @@ def all_present(*columns: str) -> Column:
 
 
 def static_mask(df: DataFrame, layer: DataFrame, flag: str, columns: list[str], excluded: int = 1) -> DataFrame:
-    """NULL where the layer's flag is ``excluded``; cells that the layer lacks keep their values. The layer has one row for each cell."""
-    out = df.join(layer.select("cell", flag), "cell", "left")
-    keep = ~F.col(flag).eqNullSafe(F.lit(excluded))
-    return out.withColumns({c: F.when(keep, F.col(c)) for c in columns}).drop(flag)
+    """NULL where the layer's flag is ``excluded``; cells that the layer lacks keep their values. A cell that the layer has several times is excluded if one of its rows is."""
+    out = layer.filter(F.col(flag) == excluded).select(F.col("cell").alias("__cell")).distinct().withColumn("__out", F.lit(True))
+    j = df.join(out, F.col("cell") == F.col("__cell"), "left")
+    return j.withColumns({c: F.when(F.col("__out").isNull(), F.col(c)) for c in columns}).drop("__cell", "__out")
+
+
+def above_class(v: Column, limit: float) -> Column:
+    """1 above a limit, else 0, also for a missing value."""
+    return F.coalesce((v > limit).cast("int"), F.lit(0))
+
+
+def is_class(v: Column, code: int) -> Column:
+    return F.coalesce((v == code).cast("int"), F.lit(0))
+
+
+def any_flag(*flags: Column) -> Column:
+    """The union of masks of 0 and 1."""
+    return reduce(lambda a, b: a.bitwiseOR(b), flags)
+
+
+def has_value(v: Column) -> Column:
+    """1 where there is a value: a mask of land out of a variable that exists on land only."""
+    return v.isNotNull().cast("int")
 
 
 def never_zero(df: DataFrame, v: str, until: str) -> DataFrame:

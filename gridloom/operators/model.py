@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .mask import all_present
+from ..functions.scalar import number_with_unit
+from .align import fallback_column
+from .mask import all_present, not_named, static_mask
 from .reduce import member_quantile
 
-#: Ranges of the random search. Trees grow by levels up to a depth of 30, leaf-wise growth and dropout do not exist here.
+#: Ranges of the random search. Trees grow by levels up to a depth of 30, leaf-wise growth and dropout do not exist here.
 FOREST = {"maxDepth": range(5, 31), "featureSubsetStrategy": ["log2", "all", "sqrt"], "numTrees": [300, 400, 500]}
 BOOSTED = {"maxDepth": range(3, 13), "minInstancesPerNode": range(10, 31), "maxIter": [300, 400, 500], "stepSize": [0.05, 0.1]}
 #: Rows of a training table that a task holds at most.
@@ -27,6 +30,37 @@ def target_name(variable: str) -> str:
     return "ET_EC" if variable == "ET" else f"{variable}_SOLO_EC"
 
 
+#: Towers whose coordinates are wrong in the source (latitude, longitude), and years to keep of towers that stopped.
+PLACES = {"Longr": (-23.5232, 144.3104)}
+YEARS = {"Tumba": (2000, 2019)}
+
+
+def patched(df: DataFrame, site: str = "site", places: dict = PLACES, years: dict = YEARS) -> DataFrame:
+    """Coordinates (lat, lon) put right and years cut off for sites whose name holds a key."""
+    for part, (lat, lon) in places.items():
+        hit = F.contains(F.col(site), F.lit(part))
+        df = df.withColumns({"lat": F.when(hit, lat).otherwise(F.col("lat")), "lon": F.when(hit, lon).otherwise(F.col("lon"))})
+    for part, (first, last) in years.items():
+        df = df.filter(F.coalesce(~F.contains(F.col(site), F.lit(part)), F.lit(True)) | F.year("t").between(first, last))
+    return df
+
+
+def with_site_facts(df: DataFrame, site: str, height: str | None = None, lat: float | None = None, lon: float | None = None) -> DataFrame:
+    """Constant columns of a tower: its name, its canopy height out of an attribute such as '12.5m' (NULL if that is no number), its place."""
+    return df.withColumns({"site": F.lit(site), "VegH_EC": number_with_unit(F.lit(height).cast("string")), "x_coord": F.lit(lon).cast("double"), "y_coord": F.lit(lat).cast("double")})
+
+
+def training_table(sites: DataFrame, features: list[str], variable: str, exclusions: list[str], fluxes: tuple[str, ...] = ("NEE_SOLO_EC", "GPP_SOLO_EC", "ER_SOLO_EC", "ET_EC"), height: str = "VegH") -> DataFrame:
+    """site, the features and ``label`` of all sites that are not excluded by name, complete rows only.
+
+    The tower's canopy height is used where the site has one at all, else the remote one, which is then no feature. Rows that lack one of the fluxes, whichever is modelled, go.
+    """
+    kept = sites.filter(not_named(F.col("site"), exclusions))
+    kept = kept.withColumn(f"{height}_EC", fallback_column(f"{height}_EC", f"{height}_RS", "site"))
+    rows = kept.select("site", *dict.fromkeys([*fluxes, *features])).na.drop("any")
+    return rows.select("site", *(f for f in features if f != f"{height}_RS"), F.col(target_name(variable)).alias("label"))
+
+
 def cv_blocks(df: DataFrame, site: str, order: list[str], blocks: int = 5) -> DataFrame:
     """row_index in the site, and the block that tests the row; the first n - blocks * (n div (blocks + 1)) rows are never tested.
 
@@ -95,16 +129,51 @@ def fit_ensemble(df: DataFrame, site: str, features: list[str], label: str, memb
     return models
 
 
-def predict_ensemble(df: DataFrame, models: list[PipelineModel], features: list[str], masking: list[str], keys: list[str]) -> DataFrame:
-    """keys and an array of the members' predictions: missing inputs count as 0, rows with a missing masking variable get NULL. No shuffle."""
+def save_models(models: list[PipelineModel], path: str, names: list[str], features: list[str]) -> None:
+    """Every model in a folder of its name, and a table of names and features. Models of these names are replaced, others stay."""
+    for name, m in zip(names, models, strict=True):
+        m.write().overwrite().save(f"{path}/models/{name}")
+    rows = [(n, i, list(features)) for i, n in enumerate(names)]
+    SparkSession.getActiveSession().createDataFrame(rows, "name string, place int, features array<string>").coalesce(1).write.mode("overwrite").parquet(f"{path}/list")
+
+
+def load_models(spark: SparkSession, path: str) -> tuple[dict[str, PipelineModel], list[str]]:
+    """The models of ``save_models`` by name, in their order, and their features."""
+    rows = spark.read.parquet(f"{path}/list").orderBy("place").collect()  # a row for each model
+    return {r.name: PipelineModel.load(f"{path}/models/{r.name}") for r in rows}, list(rows[0].features) if rows else []
+
+
+def _inputs(df: DataFrame, features: list[str], clean: bool) -> DataFrame:
+    if lost := [f for f in features if f not in df.columns]:
+        raise ValueError(f"the cube has no {', '.join(lost)}")
+    bad = lambda f: F.col(f).isNull() | F.isnan(f) | (F.abs(f) == float("inf"))
+    d = df.withColumns({f"__f_{f}": F.when(bad(f), 0.0).otherwise(F.col(f).cast("double")) if clean else F.col(f).cast("double") for f in features})
+    return VectorAssembler(inputCols=[f"__f_{f}" for f in features], outputCol="__features", handleInvalid="keep").transform(d)
+
+
+def predict(df: DataFrame, model: PipelineModel, features: list[str], name: str = "Predictions", proba: bool = False, clean: bool = True, return_input: bool = False, keys: tuple[str, ...] = ("cell", "t")) -> DataFrame:
+    """The prediction of one model for every row, no shuffle. ``clean``: missing and infinite inputs count as 0. ``proba``: of a classifier, also the highest class
+    probability in per cent. ``return_input``: the inputs come along."""
+    stage = model.stages[-1].copy().setFeaturesCol("__features").setPredictionCol("__prediction")
+    if proba:
+        stage = stage.setProbabilityCol("__proba").setRawPredictionCol("__raw")
+    d = stage.transform(_inputs(df, features, clean))
+    out = [F.col("__prediction").alias(name)] + ([best_probability("__proba").alias("Probabilities")] if proba else [])
+    return d.select(*keys, *out, *(f for f in features if return_input and f not in keys))
+
+
+def predict_ensemble(df: DataFrame, models: list[PipelineModel], features: list[str], masking: list[str], keys: list[str], layer: DataFrame | None = None, flag: str = "urban_water_mask") -> DataFrame:
+    """keys and an array of the members' predictions: missing inputs count as 0, rows with a missing masking variable get NULLs, and so do cells that the layer
+    (cell, flag) excludes. Without a layer no shuffle."""
     if lost := [f for f in features if f not in df.columns]:
         raise ValueError(f"the cube has no {', '.join(lost)}")
-    cols = list(dict.fromkeys([*keys, *features]))
-    d = df.select(*cols).withColumn("__ok", all_present(*masking) if masking else F.lit(True))
-    d = d.withColumns({f: F.when(F.col(f).isNull() | F.isnan(f) | (F.abs(f) == float("inf")), 0.0).otherwise(F.col(f).cast("double")) for f in features})
-    d = VectorAssembler(inputCols=features, outputCol="features").transform(d)
+    needed = list(dict.fromkeys([*keys, *features, *masking, *(["cell"] if layer is not None else [])]))
+    d = df.select(*needed).withColumn("__ok", all_present(*masking) if masking else F.lit(True))
+    if layer is not None:
+        d = static_mask(d, layer, flag, ["__ok"]).withColumn("__ok", F.coalesce("__ok", F.lit(False)))
+    d = _inputs(d, features, True)
     for i, m in enumerate(models):
-        d = m.stages[-1].copy().setPredictionCol(f"__p{i}").transform(d)
+        d = m.stages[-1].copy().setFeaturesCol("__features").setPredictionCol(f"__p{i}").transform(d)
     members = F.array(*(F.when(F.col("__ok"), F.col(f"__p{i}").cast("float")) for i in range(len(models))))
     return d.select(*keys, members.alias("members"))
 
@@ -120,5 +189,84 @@ def best_probability(probability: str):
 
 def importance(models: list[PipelineModel], features: list[str], spark) -> DataFrame:
     """Mean impurity importance of each feature over the models, the highest first; suffixes are stripped."""
-    rows = [(f[:-3] if f[-3:] in ("_RS", "_EC") else f, float(m.stages[-1].featureImportances[i])) for m in models for i, f in enumerate(features)]
+    rows = [(plain_name(f), float(m.stages[-1].featureImportances[i])) for m in models for i, f in enumerate(features)]
     return spark.createDataFrame(rows, "feature string, importance double").groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(F.desc("importance"), "feature")
+
+
+def plain_name(feature: str) -> str:
+    return feature[:-3] if feature[-3:] in ("_RS", "_EC") else feature
+
+
+def _paths(model: PipelineModel) -> list[tuple[float, float, list]]:
+    """(weight of the tree, value, splits) of every leaf of every tree; a split is (feature, least, below, share): what the feature must be on the whole path (at least
+    ``least`` exclusive and up to ``below``), and the product of the shares of training rows that went this way at its splits."""
+    stage = model.stages[-1]
+    weights = list(stage.treeWeights) if hasattr(stage, "treeWeights") else [1.0]
+    if not isinstance(stage, GBTRegressionModel):
+        weights = [w / len(weights) for w in weights]
+    out = []
+
+    def walk(node, weight, held):
+        if node.numDescendants() == 0:
+            out.append((weight, float(node.prediction()), [(f, *v) for f, v in sorted(held.items())]))
+            return
+        split, here = node.split(), float(node.impurityStats().count())
+        f, at = split.featureIndex(), float(split.threshold())
+        lo, hi, share = held.get(f, (float("-inf"), float("inf"), 1.0))
+        for child, (a, b) in ((node.leftChild(), (lo, min(hi, at))), (node.rightChild(), (max(lo, at), hi))):
+            walk(child, weight, held | {f: (a, b, share * float(child.impurityStats().count()) / here)})
+
+    for weight, tree in zip(weights, stage.trees, strict=True):
+        walk(tree._call_java("rootNode"), float(weight), {})
+    return out
+
+
+def shap_values(x, paths: list, n_features: int):
+    """Exact Shapley values of sums of trees [rows x features], absent features averaged over the training rows that go each way (path-dependent).
+
+    A leaf's value counts if every feature of its path lies in its range; an absent one lets it count by its share. For each leaf the value of a feature is a sum over
+    subsets of the other features on the path, by size, which a polynomial holds: its coefficients are products of (share + inside * z).
+    """
+    import numpy as np
+
+    phi = np.zeros((len(x), n_features))
+    for weight, value, splits in paths:
+        m = len(splits)
+        if not m or not value:
+            continue
+        inside = np.stack([(x[:, f] > lo) & (x[:, f] <= hi) for f, lo, hi, _ in splits], 1).astype(float)
+        shares = np.array([s[3] for s in splits])
+        by_size = np.array([math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m) for k in range(m)])
+        for i, (f, *_) in enumerate(splits):
+            poly = np.zeros((len(x), m))
+            poly[:, 0] = 1.0
+            for j in range(m):
+                if j != i:
+                    poly[:, 1:] = poly[:, 1:] * shares[j] + poly[:, :-1] * inside[:, j : j + 1]
+                    poly[:, 0] *= shares[j]
+            phi[:, f] += weight * value * (poly @ by_size) * (inside[:, i] - shares[i])
+    return phi
+
+
+def shap_importance(models: list[PipelineModel], df: DataFrame, features: list[str]) -> DataFrame:
+    """feature and importance: the mean absolute Shapley value over all rows, averaged over the models; the highest first, suffixes stripped.
+
+    Only boosted models count, as explaining forests takes long, unless there are no others. The models go to every task, each batch of rows gives one row of sums for each model.
+    """
+    boosted = [m for m in models if isinstance(m.stages[-1], GBTRegressionModel)] or models
+    shared = df.sparkSession.sparkContext.broadcast([_paths(m) for m in boosted])
+    n = len(features)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), float) for c in b.columns]) if b.num_rows else np.zeros((0, n))
+            sums = [np.abs(shap_values(x, p, n)).sum(0) for p in shared.value]
+            yield pa.RecordBatch.from_pydict({"feature": pa.array([i for _ in sums for i in range(n)], pa.int32()), "total": pa.array(np.concatenate(sums)), "n": pa.array([b.num_rows] * (n * len(sums)), pa.int64())})
+
+    rows = df.select(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features)).mapInArrow(run, "feature int, total double, n long")
+    mean = rows.groupBy("feature").agg(F.try_divide(F.sum("total"), F.sum("n")).alias("importance"))
+    name = F.create_map(*(x for i, f in enumerate(features) for x in (F.lit(i), F.lit(plain_name(f)))))[F.col("feature")]
+    return mean.select(name.alias("feature"), "importance").orderBy(F.desc("importance"), "feature")

@@ -6,6 +6,8 @@ Frames count rows, so a cube with missing months goes through ``month_spine`` fi
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,13 +20,28 @@ def resample_month(df: DataFrame, cell: str, t: str, aggs: dict[str, Column]) ->
     return df.groupBy(F.col(cell).alias("cell"), month_label(F.col(t)).alias("t")).agg(*(c.alias(k) for k, c in aggs.items()))
 
 
-def month_spine(cube: DataFrame, zero: tuple[str, ...] = ()) -> DataFrame:
-    """A row for every cell and month of the cube's range; missing values are NULL, or 0 for the columns in ``zero`` (sums)."""
-    lo, hi = cube.select(F.min("t"), F.max("t")).first()
-    months = F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 MONTH")))
-    full = cube.select("cell").distinct().select("cell", months.alias("t"))
-    out = full.join(cube, ["cell", "t"], "left")
-    return out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in zero}) if zero else out
+def month_spine(cube: DataFrame, zero: tuple[str, ...] = (), bounds: tuple | None = None) -> DataFrame:
+    """A row for every cell and month of the cube's range; missing values are NULL, or 0 for the columns in ``zero`` (sums).
+
+    Each row is followed by the months up to the next one of its cell, so one window does it, without a join. ``bounds`` are the first and last label of
+    the range; without them a job over ``cube`` finds them. A (cell, month) with several rows keeps them. An empty cube stays empty.
+    """
+    lo, hi = (F.lit(None if x is None else str(x)).cast("timestamp_ntz") for x in bounds or cube.select(F.min("t"), F.max("t")).first())
+    w, month = Window.partitionBy("cell").orderBy("t"), F.expr("INTERVAL 1 MONTH")
+    first = F.when(F.lag("t").over(w).isNull(), F.least(lo, "t")).otherwise(F.col("t"))
+    last = F.greatest(F.coalesce(F.lead("t").over(w) - month, hi), F.col("t"))
+    d = cube.withColumns({"__a": first, "__b": last}).withColumn("__m", F.explode(F.sequence("__a", "__b", month)))
+    value = {c: F.when(F.col("__m") == F.col("t"), F.col(c)) for c in cube.columns if c not in ("cell", "t")}
+    return d.select("cell", F.col("__m").alias("t"), *((F.coalesce(v, F.lit(0.0)) if c in zero else v).alias(c) for c, v in value.items()))
+
+
+def year_spine(df: DataFrame, by: str, aggs: dict[str, Column]) -> DataFrame:
+    """Yearly values of each group, labelled 31 December, with a row of NULLs for every year between its first and its last that has none."""
+    y = df.groupBy(by, F.year("t").alias("__y")).agg(*(c.alias(k) for k, c in aggs.items()))
+    following = F.lead("__y").over(Window.partitionBy(by).orderBy("__y"))
+    d = y.withColumn("__last", F.coalesce(following - 1, F.col("__y"))).withColumn("__n", F.explode(F.sequence("__y", "__last")))
+    own = F.col("__n") == F.col("__y")
+    return d.select(by, F.make_date("__n", F.lit(12), F.lit(31)).cast("timestamp_ntz").alias("t"), *(F.when(own, F.col(k)).alias(k) for k in aggs))
 
 
 def resample_year(df: DataFrame, aggs: dict[str, Column]) -> DataFrame:
@@ -33,10 +50,34 @@ def resample_year(df: DataFrame, aggs: dict[str, Column]) -> DataFrame:
     return by.select("cell", F.make_date("y", F.lit(12), F.lit(31)).cast("timestamp_ntz").alias("t"), *aggs)
 
 
+def _period(label: str) -> tuple[str, str]:
+    """First day of a year, month or day, and the interval it lasts."""
+    year, month, day = (*map(int, label.split("-")), None, None)[:3]
+    return f"{year:04d}-{month or 1:02d}-{day or 1:02d}", "1 DAY" if day else "1 MONTH" if month else "1 YEAR"
+
+
 def time_slice(df: DataFrame, first: str, last: str, t: str = "t") -> DataFrame:
-    """Inclusive at both ends by year, as a range predicate that reaches the scan."""
-    lo, hi = f"{int(first)}-01-01", f"{int(last) + 1}-01-01"
-    return df.filter((F.col(t) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(t) < F.lit(hi).cast("timestamp_ntz")))
+    """Inclusive at both ends, which are a year, a month or a day ('1996', '1996-03', '1996-03-15'); a range predicate that reaches the scan."""
+    (lo, _), (hi, lasts) = _period(first), _period(last)
+    return df.filter((F.col(t) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(t) < F.lit(hi).cast("timestamp_ntz") + F.expr(f"INTERVAL {lasts}")))
+
+
+def at_step(df: DataFrame, i: int, t: str = "t") -> DataFrame:
+    """The i-th step of the time axis that all rows share, from 0; from the end if negative. No rows beyond the axis."""
+    axis = df.select(F.col(t).alias("__t")).filter("__t is not null").distinct()
+    one = axis.orderBy("__t" if i >= 0 else F.desc("__t")).offset(i if i >= 0 else -i - 1).limit(1)
+    return df.join(F.broadcast(one), F.col(t) == F.col("__t"), "left_semi")
+
+
+def over_months(layer: DataFrame, first: str, last: str) -> DataFrame:
+    """A static layer repeated at the mid-month labels from the month of ``first`` to that of ``last``; no join."""
+    lo, hi = (month_label(F.lit(x).cast("timestamp_ntz")) for x in (first, last))
+    return layer.withColumn("t", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))))
+
+
+def concat_time(frames: list[DataFrame]) -> DataFrame:
+    """Cubes of other times, one below the other; a variable that a cube lacks is NULL there. Order is the sink's matter."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def by_month() -> Window:

@@ -9,21 +9,28 @@ from ..operators import align, features, mask, reduce, temporal as T
 from .registry import query, table
 from .registry import rounded as r
 
-CUBE = "cube AS (SELECT l_suppkey AS cell, date_trunc('month', l_shipdate) + INTERVAL 14 DAY AS t, avg(l_extendedprice) AS v, sum(l_quantity) AS q, avg(l_discount) AS d, avg(l_tax) AS x FROM lineitem GROUP BY 1, 2)"
-GAPPY = """g0 AS (SELECT l_suppkey AS cell, date_trunc('month', l_shipdate) + INTERVAL 14 DAY AS t, avg(l_extendedprice) AS v, sum(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' GROUP BY 1, 2),
+# The variables are means of square roots of amounts: a mean of amounts in cents often lies exactly between two values of the fourth place, where the
+# last bit of a sum would decide; a mean of roots does not.
+CUBE = "cube AS (SELECT l_suppkey AS cell, date_trunc('month', l_shipdate) + INTERVAL 14 DAY AS t, avg(sqrt(l_extendedprice)) AS v, sum(l_quantity) AS q, avg(sqrt(l_discount)) AS d, avg(sqrt(l_tax)) AS x FROM lineitem GROUP BY 1, 2)"
+GAPPY = """g0 AS (SELECT l_suppkey AS cell, date_trunc('month', l_shipdate) + INTERVAL 14 DAY AS t, avg(sqrt(l_extendedprice)) AS v, sum(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' GROUP BY 1, 2),
 gap AS (SELECT c.cell, m.t, g0.v, g0.q FROM (SELECT DISTINCT cell FROM g0) c CROSS JOIN (SELECT unnest(generate_series((SELECT min(t) FROM g0), (SELECT max(t) FROM g0), INTERVAL 1 MONTH)) AS t) m LEFT JOIN g0 ON g0.cell = c.cell AND g0.t = m.t)"""
 CELLM = "PARTITION BY cell, month(t)"
 
 
+def mean_root(c):
+    return F.avg(F.sqrt(c))
+
+
 def cube(spark, d):
     """cell, t, v, q, d, x; quantities are added as decimals, so that the sum is exact."""
-    aggs = {"v": F.avg("l_extendedprice"), "q": F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double"), "d": F.avg("l_discount"), "x": F.avg("l_tax")}
+    aggs = {"v": mean_root("l_extendedprice"), "q": F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double"), "d": mean_root("l_discount"), "x": mean_root("l_tax")}
     return T.resample_month(table(spark, d, "lineitem"), "l_suppkey", "l_shipdate", aggs)
 
 
 def gappy(spark, d):
     rows = table(spark, d, "lineitem").filter("l_returnflag = 'R' and l_linestatus = 'F'")
-    return T.month_spine(T.resample_month(rows, "l_suppkey", "l_shipdate", {"v": F.avg("l_extendedprice"), "q": F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double")}))
+    bounds = rows.select(T.month_label(F.min("l_shipdate")), T.month_label(F.max("l_shipdate"))).first()  # reads the dates only
+    return T.month_spine(T.resample_month(rows, "l_suppkey", "l_shipdate", {"v": mean_root("l_extendedprice"), "q": F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double")}), bounds=bounds)
 
 
 @query(f"WITH {GAPPY}, f AS (SELECT *, v / nullif(avg(CASE WHEN year(t) <= 1999 THEN v END) OVER ({CELLM}), 0) AS frac FROM gap) SELECT cell, t, round(frac, 4) AS frac, CASE WHEN count(q) OVER w = 3 THEN sum(q) OVER w END AS q3 FROM f WINDOW w AS (PARTITION BY cell ORDER BY t ROWS 2 PRECEDING)")
@@ -75,6 +82,11 @@ def time_slice_inclusive(spark, d):
     return T.time_slice(table(spark, d, "lineitem"), "1996", "1997", "l_shipdate").select("l_orderkey", "l_linenumber", "l_shipdate")
 
 
+@query("SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-03-01' AND l_shipdate < TIMESTAMP '1997-10-16'")
+def time_slice_partial(spark, d):
+    return T.time_slice(table(spark, d, "lineitem"), "1996-03", "1997-10-15", "l_shipdate").select("l_orderkey", "l_linenumber", "l_shipdate")
+
+
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN year(l_shipdate) IN (2000, 2001) OR l_linenumber IN (0, 5, 17, 21, 64, 65, 81) THEN l_quantity END AS v FROM lineitem")
 def qc_allowlist_mask(spark, d):
     l = table(spark, d, "lineitem")  # noqa: E741
@@ -102,39 +114,39 @@ def static_mask_join(spark, d):
     return mask.static_mask(cube(spark, d).select("cell", "t", r("v").alias("v")), layer(spark, d), "urban", ["v"])
 
 
-@query("SELECT c_custkey, CASE WHEN c_acctbal / 5000 < 0 THEN 0 WHEN c_acctbal / 5000 > 1 THEN 1 ELSE round(c_acctbal / 5000, 4) END AS v FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_acctbal / 5000 < 0 THEN 0 WHEN c_acctbal / 5000 > 1 THEN 1 ELSE c_acctbal / 5000 END AS v FROM customer")
 def clip_unit_interval(spark, d):
-    return table(spark, d, "customer").select("c_custkey", S.clip(r(F.col("c_acctbal") / 5000), 0.0, 1.0).alias("v"))
+    return table(spark, d, "customer").select("c_custkey", S.clip(F.col("c_acctbal") / 5000, 0.0, 1.0).alias("v"))
 
 
-@query(f"WITH {CUBE} SELECT cell, t, round((d - x) / nullif(d + x, 0), 4) AS nd, round(tanh(pow((d - x) / nullif(d + x, 0), 2)), 4) AS k FROM cube")
+@query(f"WITH {CUBE} SELECT cell, t, round((d - x) / nullif(d + x, 0), 4) + 0 AS nd, round(tanh(pow((d - x) / nullif(d + x, 0), 2)), 4) AS k FROM cube")
 def knorm_diff_tanh(spark, d):
     a, b = F.col("d"), F.col("x")
     return cube(spark, d).select("cell", "t", r(S.normalised_difference(a, b)).alias("nd"), r(S.kernel_ndvi(a, b)).alias("k"))
 
 
-ES = "6.11 * exp((2500000.0 / 461) * (1.0 / 273 - 1.0 / (273 + d * 400)))"
+ES = "6.11 * exp((2500000.0 / 461) * (1.0 / 273 - 1.0 / (273 + d * 100)))"
 
 
 @query(f"WITH {CUBE} SELECT cell, t, round((100 - x * 1000) / 100 * {ES}, 4) AS vpd FROM cube")
 def vpd_from_rh(spark, d):
-    return cube(spark, d).select("cell", "t", r(S.vpd_from_humidity(F.col("x") * 1000, F.col("d") * 400)).alias("vpd"))
+    return cube(spark, d).select("cell", "t", r(S.vpd_from_humidity(F.col("x") * 1000, F.col("d") * 100)).alias("vpd"))
 
 
 @query(f"WITH {CUBE} SELECT cell, t, round({ES} - x * 100, 4) AS vpd FROM cube")
 def vpd_from_vp(spark, d):
-    return cube(spark, d).select("cell", "t", r(S.vpd_from_pressure(F.col("x") * 100, F.col("d") * 400)).alias("vpd"))
+    return cube(spark, d).select("cell", "t", r(S.vpd_from_pressure(F.col("x") * 100, F.col("d") * 100)).alias("vpd"))
 
 
-@query(f"WITH {CUBE} SELECT cell, t, round(x * 100 + d * (d * 400 - x * 100), 4) AS tavg, round(d * 400 - 273.15, 4) AS celsius FROM cube")
+@query(f"WITH {CUBE} SELECT cell, t, round(x * 100 + d * (d * 100 - x * 100), 4) AS tavg, round(d * 100 - 273.15, 4) AS celsius FROM cube")
 def tavg_blend(spark, d):
-    return cube(spark, d).select("cell", "t", r(S.blended_temperature(F.col("x") * 100, F.col("d") * 400, F.col("d"))).alias("tavg"), r(S.kelvin_to_celsius(F.col("d") * 400)).alias("celsius"))
+    return cube(spark, d).select("cell", "t", r(S.blended_temperature(F.col("x") * 100, F.col("d") * 100, F.col("d"))).alias("tavg"), r(S.kelvin_to_celsius(F.col("d") * 100)).alias("celsius"))
 
 
 @query(f"WITH {CUBE}, {GAPPY} SELECT cube.cell, cube.t, round(cube.v - g0.v, 4) AS delta FROM cube JOIN g0 USING (cell, t)")
 def delta_join(spark, d):
     a = cube(spark, d).select("cell", "t", "v")
-    b = T.resample_month(table(spark, d, "lineitem").filter("l_returnflag = 'R' and l_linestatus = 'F'"), "l_suppkey", "l_shipdate", {"w": F.avg("l_extendedprice")})
+    b = T.resample_month(table(spark, d, "lineitem").filter("l_returnflag = 'R' and l_linestatus = 'F'"), "l_suppkey", "l_shipdate", {"w": mean_root("l_extendedprice")})
     return align.aligned(a, b, ["cell", "t"], r(F.col("v") - F.col("w")), "delta")
 
 
@@ -227,7 +239,7 @@ def gapfill_pipeline(spark, d):
     return T.gap_fill(gappy(spark, d), "v", "f").select("cell", "t", r("f").alias("v"))
 
 
-VEG = f"""WITH {CUBE}, f AS (SELECT cell, t, CASE WHEN (d * 10 - x) / (0.91 - x) < 0 THEN 0 WHEN (d * 10 - x) / (0.91 - x) > 1 THEN 1 ELSE (d * 10 - x) / (0.91 - x) END AS f FROM cube),
+VEG = f"""WITH {CUBE}, f AS (SELECT cell, t, CASE WHEN (d * 3 - x) / (0.91 - x) < 0 THEN 0 WHEN (d * 3 - x) / (0.91 - x) > 1 THEN 1 ELSE (d * 3 - x) / (0.91 - x) END AS f FROM cube),
 l AS (SELECT *, min(f) OVER (PARTITION BY cell ORDER BY t ROWS 6 PRECEDING) AS low FROM f),
 p AS (SELECT *, avg(low) OVER (PARTITION BY cell ORDER BY t ROWS 8 PRECEDING) AS p FROM l),
 e AS (SELECT cell, t, f, CASE WHEN p - CASE WHEN f - p < 0 THEN abs(f - p) ELSE 0 END < 0 THEN 0 ELSE p - CASE WHEN f - p < 0 THEN abs(f - p) ELSE 0 END END AS persistent FROM p),
@@ -235,7 +247,7 @@ v AS (SELECT cell, t, persistent, CASE WHEN f - persistent < 0 THEN 0 ELSE f - p
 
 
 def _veg(spark, d):
-    return features.vegetation_fractions(cube(spark, d).select("cell", "t", (F.col("d") * 10).alias("ndvi"), F.col("x").alias("bare")))
+    return features.vegetation_fractions(cube(spark, d).select("cell", "t", (F.col("d") * 3).alias("ndvi"), F.col("x").alias("bare")))
 
 
 @query(VEG + " SELECT cell, t, round(persistent, 4) AS persistent, round(recurrent, 4) AS recurrent FROM v")
@@ -320,7 +332,7 @@ def annual_sum_then_mean(spark, d):
 
 @query(f"WITH {CUBE} SELECT r_name AS region, CAST(month(t) AS INTEGER) AS month, round(avg(v), 4) AS v FROM cube JOIN supplier ON s_suppkey = cell JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2")
 def zonal_climatology(spark, d):
-    s = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     zones = s.select(F.col("s_suppkey").alias("cell"), F.col("r_name").alias("region"))
     return cube(spark, d).join(zones, "cell").groupBy("region", F.month("t").alias("month")).agg(r(F.avg("v")).alias("v"))
 
@@ -338,12 +350,14 @@ def iav_std(spark, d):
     return out.select(*(r(c).alias(c) for c in out.columns))
 
 
-@query(f"WITH {GAPPY} SELECT cell, t, coalesce(round(q / nullif(v - v, 0), 4), 0) AS clean, round(v * 9 * 1e-3 * 12, 4) AS area FROM gap")
+@query(f"WITH {GAPPY} SELECT cell, t, CASE WHEN v IS NULL OR CAST(q AS BIGINT) % 5 = 0 OR CAST(q AS BIGINT) % 7 = 0 THEN 0 ELSE round(v, 4) END AS clean, CASE WHEN CAST(q AS BIGINT) % 5 = 0 OR CAST(q AS BIGINT) % 7 = 0 THEN NULL ELSE round(v, 4) END AS finite, round(v * 9 * 1e-3 * 12, 4) AS area FROM gap")
 def finite_and_area(spark, d):
+    """Infinities where the quantity is divisible by 5, NaN where it is by 7."""
     from ..operators.grid import area_total
 
-    v = F.col("v")
-    return gappy(spark, d).select("cell", "t", S.finite_or(F.try_divide(F.col("q"), v - v), 0.0).alias("clean"), r(area_total(v * 1e12, 3.0, True)).alias("area"))
+    v, q = F.col("v"), F.col("q").cast("long")
+    bad = F.when(q % 5 == 0, F.lit(float("-inf"))).when(q % 7 == 0, F.lit(float("nan"))).otherwise(r("v"))
+    return gappy(spark, d).select("cell", "t", S.finite_or(bad, 0.0).alias("clean"), S.finite_or(bad, None).alias("finite"), r(area_total(v * 1e12, 3.0, True)).alias("area"))
 
 
 @query(f"WITH {CUBE}, p AS (SELECT CASE WHEN t < TIMESTAMP '1998-01-01' THEN 'early' ELSE 'late' END AS period, cell, q - avg(q) OVER ({CELLM}) AS a FROM cube) SELECT period, round(sum(a), 2) AS total FROM p GROUP BY period")
@@ -353,9 +367,9 @@ def period_total_anomaly(spark, d):
     return c.groupBy(F.when(late, "early").otherwise("late").alias("period")).agg(r(F.sum("a"), 2).alias("total"))
 
 
-@query(f"WITH {CUBE} SELECT cube.cell, t, round(v, 4) AS v FROM cube WHERE cell NOT IN (SELECT cell FROM cube WHERE t <= TIMESTAMP '1996-06-30' GROUP BY cell HAVING max(CASE WHEN q < 100 THEN 0 ELSE q END) = 0)")
+@query(f"WITH {CUBE} SELECT cube.cell, t, round(v, 4) AS v FROM cube WHERE cell NOT IN (SELECT cell FROM cube WHERE t <= TIMESTAMP '1996-06-30' GROUP BY cell HAVING max(CASE WHEN cell % 7 = 3 THEN 0 ELSE q END) = 0)")
 def zero_pixel_mask(spark, d):
-    c = cube(spark, d).withColumn("z", F.when(F.col("q") < 100, 0.0).otherwise(F.col("q")))
+    c = cube(spark, d).withColumn("z", F.when(F.col("cell") % 7 == 3, 0.0).otherwise(F.col("q")))
     return mask.never_zero(c, "z", "1996-06-30").select("cell", "t", r("v").alias("v"))
 
 

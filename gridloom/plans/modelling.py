@@ -9,8 +9,8 @@ from .registry import query, table
 from .registry import rounded as r
 
 FEATURES = ["quantity", "discount", "tax", "retail", "size"]
-PAIR = "pr AS (SELECT s_nationkey AS site, l_extendedprice AS o, p_retailprice * l_quantity * 0.9 + 100 AS p FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey)"
-SKILL = "count(*) AS n, round(regr_slope(p, o), 4) AS slope, round(regr_r2(p, o), 4) AS r2, round(avg(abs(o - p)), 2) AS mae, round(sqrt(avg(pow(o - p, 2))), 2) AS rmse"
+PAIR = "pr AS (SELECT s_nationkey AS site, CASE WHEN l_linenumber <> 3 THEN l_extendedprice END AS o, CASE WHEN p_size <> 7 THEN p_retailprice * l_quantity * 0.9 + 100 END AS p FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey)"
+SKILL = "count(CASE WHEN o IS NOT NULL AND p IS NOT NULL THEN 1 END) AS n, round(regr_slope(p, o), 4) AS slope, round(regr_r2(p, o), 4) AS r2, round(avg(abs(o - p)), 2) AS mae, round(sqrt(avg(pow(o - p, 2))), 2) AS rmse"
 
 
 def training(spark, d):
@@ -20,7 +20,9 @@ def training(spark, d):
 
 
 def pairs(spark, d):
-    return training(spark, d).select("site", F.col("label").alias("o"), (F.col("retail") * F.col("quantity") * 0.9 + 100).alias("p"))
+    """Observed and predicted prices; some of either are missing."""
+    o, p = F.when(F.col("l_linenumber") != 3, F.col("label")), F.when(F.col("size") != 7, F.col("retail") * F.col("quantity") * 0.9 + 100)
+    return training(spark, d).select("site", o.alias("o"), p.alias("p"))
 
 
 def _skill(df):
@@ -79,10 +81,29 @@ def gbt_ensemble_predict(spark, d):
 
 @query()
 def feature_importance(spark, d):
-    models = model.fit_ensemble(training(spark, d), "site", FEATURES, "label", kinds=("forest",), params={"forest": {"numTrees": 10, "maxDepth": 5}})
-    return model.importance(models, FEATURES, spark)
+    """Mean absolute Shapley values of the boosted models, over all rows."""
+    rows = training(spark, d)
+    models = model.fit_ensemble(rows, "site", FEATURES, "label", kinds=("boosted",), params={"boosted": {"maxIter": 8, "maxDepth": 4}})
+    return model.shap_importance(models, rows, FEATURES)
 
 
 @query()
 def kde_density(spark, d):
-    return reduce.kde(pairs(spark, d), "o", "p")
+    return reduce.kde(pairs(spark, d).na.drop("any"), "o", "p")
+
+
+@query("""WITH s AS (SELECT c_mktsegment AS site, c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' OR c_acctbal < 0 THEN NULL ELSE c_acctbal END AS VegH_EC, c_acctbal / 2 AS VegH_RS, c_acctbal + 1 AS NEE_SOLO_EC, CASE WHEN c_custkey % 9 <> 0 THEN c_acctbal + 2 END AS GPP_SOLO_EC, c_acctbal + 3 AS ER_SOLO_EC, c_acctbal + 4 AS ET_EC, CAST(c_nationkey AS DOUBLE) AS LAI_RS FROM customer WHERE NOT contains(c_mktsegment, 'BUILD')),
+f AS (SELECT *, CASE WHEN count(VegH_EC) OVER (PARTITION BY site) = 0 THEN VegH_RS ELSE VegH_EC END AS h FROM s)
+SELECT site, CAST(c_custkey AS DOUBLE) AS key, h AS VegH_EC, LAI_RS, GPP_SOLO_EC AS label FROM f WHERE h IS NOT NULL AND VegH_RS IS NOT NULL AND NEE_SOLO_EC IS NOT NULL AND GPP_SOLO_EC IS NOT NULL AND ER_SOLO_EC IS NOT NULL AND ET_EC IS NOT NULL AND LAI_RS IS NOT NULL""")
+def training_assembly(spark, d):
+    a = F.col("c_acctbal")
+    height = F.when((F.col("c_mktsegment") == "MACHINERY") | (a < 0), F.lit(None)).otherwise(a)
+    c = table(spark, d, "customer").select(F.col("c_mktsegment").alias("site"), F.col("c_custkey").cast("double").alias("key"), height.alias("VegH_EC"), (a / 2).alias("VegH_RS"), (a + 1).alias("NEE_SOLO_EC"), F.when(F.col("c_custkey") % 9 != 0, a + 2).alias("GPP_SOLO_EC"), (a + 3).alias("ER_SOLO_EC"), (a + 4).alias("ET_EC"), F.col("c_nationkey").cast("double").alias("LAI_RS"))
+    return model.training_table(c, ["key", "VegH_EC", "VegH_RS", "LAI_RS"], "GPP", ["BUILD"])
+
+
+@query("SELECT c_custkey, c_name AS site, CASE WHEN contains(c_name, '77') THEN -23.5232::DOUBLE ELSE -10.0 END AS lat, CASE WHEN contains(c_name, '77') THEN 144.3104::DOUBLE ELSE 120.0 END AS lon, o_orderdate AS t FROM customer JOIN orders ON o_custkey = c_custkey WHERE NOT contains(c_name, '13') OR year(o_orderdate) BETWEEN 1996 AND 1998")
+def site_patches(spark, d):
+    o = table(spark, d, "customer").join(table(spark, d, "orders"), F.col("o_custkey") == F.col("c_custkey"))
+    o = o.select("c_custkey", F.col("c_name").alias("site"), F.lit(-10.0).alias("lat"), F.lit(120.0).alias("lon"), F.col("o_orderdate").alias("t"))
+    return model.patched(o, "site", {"77": model.PLACES["Longr"]}, {"13": (1996, 1998)})

@@ -90,28 +90,29 @@ def unpivot_variables(spark, d):
     return wide.unpivot("vec_id", ["a", "b", "c"], "name", "v")
 
 
-@query("SELECT label, " + ", ".join(f"round(quantile_disc(CAST(embedding[1] AS DOUBLE), {p}), 4) AS pc_{int(p * 100)}" for p in (0.25, 0.5, 0.75)) + " FROM embeddings GROUP BY label")
+@query("WITH m AS (SELECT vec_id, list_sort(list_transform(embedding[1:CAST(1 + vec_id % 33 AS INTEGER)], lambda x: CAST(x AS DOUBLE))) AS a FROM embeddings) SELECT vec_id, " + ", ".join(f"{_QN.format(p=p)} AS pc_{int(p * 100)}" for p in (0.25, 0.5, 0.75)) + " FROM m")
 def pivot_quantiles(spark, d):
+    """Quantiles as rows, by the rule of nearest rank, then as columns."""
     ps = {"pc_25": 0.25, "pc_50": 0.5, "pc_75": 0.75}
-    e = table(spark, d, "embeddings").withColumn("x", F.col("embedding")[0].cast("double"))
-    long = e.groupBy("label").agg(F.expr("percentile_disc(0.25) within group (order by x)").alias("pc_25"), F.expr("percentile_disc(0.5) within group (order by x)").alias("pc_50"), F.expr("percentile_disc(0.75) within group (order by x)").alias("pc_75")).unpivot("label", list(ps), "quantile", "v")
-    return long.groupBy("label").pivot("quantile", list(ps)).agg(r(F.first("v")))
+    e = table(spark, d, "embeddings").select("vec_id", F.slice(F.col("embedding").cast("array<double>"), F.lit(1), (F.col("vec_id") % 33 + 1).cast("int")).alias("m"))
+    long = e.select("vec_id", F.explode(F.array(*(F.struct(F.lit(k).alias("quantile"), reduce.member_quantile(F.col("m"), p).alias("v")) for k, p in ps.items()))).alias("x")).select("vec_id", "x.*")
+    return long.groupBy("vec_id").pivot("quantile", list(ps)).agg(F.first("v"))
 
 
-@query("SELECT l_orderkey, l_linenumber, round((l_quantity + l_discount + l_tax) / 3, 4) AS mean FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, (l_quantity + l_discount + l_tax) / 3 AS mean FROM lineitem")
 def row_mean_across_columns(spark, d):
     l = table(spark, d, "lineitem")  # noqa: E741
-    return l.select("l_orderkey", "l_linenumber", r(reduce.row_mean("l_quantity", "l_discount", "l_tax")).alias("mean"))
+    return l.select("l_orderkey", "l_linenumber", reduce.row_mean("l_quantity", "l_discount", "l_tax").alias("mean"))
 
 
 POINT = "c_custkey AS site, -10.2 - (c_custkey % 97) * 0.05 AS lat, 113.1 + (c_custkey % 89) * 0.05 AS lon FROM customer"
 
 
-@query(f"WITH p AS (SELECT {POINT}), i AS (SELECT site, floor((lat + 10.0) / -0.5 + 0.5) AS y, floor((lon - 113.0) / 0.5 + 0.5) AS x FROM p) SELECT site, CAST(y * 10 + x AS BIGINT) AS cell, s_acctbal AS v FROM i LEFT JOIN supplier ON s_suppkey = y * 10 + x AND y BETWEEN 0 AND 9 AND x BETWEEN 0 AND 9 WHERE y BETWEEN 0 AND 9 AND x BETWEEN 0 AND 9")
+@query(f"WITH p AS (SELECT {POINT}), i AS (SELECT site, floor((lat + 10.0) / -0.5 + 0.5) AS y, floor((lon - 113.0) / 0.5 + 0.5) AS x FROM p) SELECT site, CAST(least(greatest(y, 0), 9) * 10 + least(greatest(x, 0), 9) AS BIGINT) AS cell, s_acctbal AS v FROM i LEFT JOIN supplier ON s_suppkey = least(greatest(y, 0), 9) * 10 + least(greatest(x, 0), 9)")
 def nearest_cell_extract(spark, d):
     p = table(spark, d, "customer").select(F.col("c_custkey").alias("site"), (-10.2 - (F.col("c_custkey") % 97) * 0.05).alias("lat"), (113.1 + (F.col("c_custkey") % 89) * 0.05).alias("lon"))
     cell = align.nearest_index(F.col("lat"), -10.0, -0.5, 10) * 10 + align.nearest_index(F.col("lon"), 113.0, 0.5, 10)
-    at = p.select("site", cell.alias("cell")).filter("cell is not null")
+    at = p.select("site", cell.alias("cell"))
     return at.join(table(spark, d, "supplier").select(F.col("s_suppkey").alias("cell"), F.col("s_acctbal").alias("v")), "cell", "left").select("site", "cell", "v")
 
 
@@ -124,12 +125,12 @@ def asof_nearest_tolerance(spark, d):
     return align.asof_nearest(left, e.filter("event_type = 'view'").select("user_id", "ts", "value"), "user_id", "ts", "value", "1 day")
 
 
-@query("""WITH a AS (SELECT l_suppkey AS cell, avg(l_tax) AS v FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 49 GROUP BY 1), b AS (SELECT l_suppkey AS cell, avg(l_tax) AS v, max(l_discount) AS w FROM lineitem WHERE l_quantity < 2 GROUP BY 1)
+@query("""WITH a AS (SELECT l_suppkey AS cell, avg(sqrt(l_tax)) AS v FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 49 GROUP BY 1), b AS (SELECT l_suppkey AS cell, avg(sqrt(l_tax)) AS v, max(l_discount) AS w FROM lineitem WHERE l_quantity < 2 GROUP BY 1)
 SELECT cell, round(coalesce(a.v, b.v), 4) AS v, b.w FROM a FULL JOIN b USING (cell)""")
 def merge_outer_override(spark, d):
     l = table(spark, d, "lineitem").withColumn("cell", F.col("l_suppkey"))  # noqa: E741
-    a = l.filter("l_returnflag = 'R' and l_quantity > 49").groupBy("cell").agg(F.avg("l_tax").alias("v"))
-    b = l.filter("l_quantity < 2").groupBy("cell").agg(F.avg("l_tax").alias("v"), F.max("l_discount").alias("w"))
+    a = l.filter("l_returnflag = 'R' and l_quantity > 49").groupBy("cell").agg(F.avg(F.sqrt("l_tax")).alias("v"))
+    b = l.filter("l_quantity < 2").groupBy("cell").agg(F.avg(F.sqrt("l_tax")).alias("v"), F.max("l_discount").alias("w"))
     return align.merge_override([a, b], ["cell"]).select("cell", r("v").alias("v"), "w")
 
 
@@ -142,7 +143,7 @@ def suffix_join(spark, d):
     return align.left_all([ec, rs], ["user_id", "t"])
 
 
-SITE = "SELECT c_custkey, c_nationkey AS site, CASE WHEN c_nationkey % 3 = 0 THEN NULL WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS h_ec, round(c_acctbal / 2, 4) AS h_rs FROM customer"
+SITE = "SELECT c_custkey, c_nationkey AS site, CASE WHEN c_nationkey % 3 = 0 THEN NULL WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS h_ec, c_acctbal / 2 AS h_rs FROM customer"
 
 
 @query(f"WITH s AS ({SITE}) SELECT c_custkey, site, CASE WHEN count(h_ec) OVER (PARTITION BY site) = 0 THEN h_rs ELSE h_ec END AS h FROM s")
@@ -153,7 +154,7 @@ def site_fallback_column(spark, d):
 
 def sites(spark, d):
     h = F.when((F.col("c_nationkey") % 3 == 0) | (F.col("c_acctbal") < 0), F.lit(None)).otherwise(F.col("c_acctbal"))
-    return table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("site"), h.alias("h_ec"), r(F.col("c_acctbal") / 2).alias("h_rs"), "c_name")
+    return table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("site"), h.alias("h_ec"), (F.col("c_acctbal") / 2).alias("h_rs"), "c_name")
 
 
 @query(f"WITH s AS ({SITE}) SELECT * FROM s WHERE h_ec IS NOT NULL AND h_rs IS NOT NULL")
@@ -198,7 +199,8 @@ def rasterize_polygons(spark, d):
     k = F.col("s_suppkey")
     cells = table(spark, d, "supplier").select(F.col("s_suppkey").alias("cell"), (F.lit(-10) - 0.5 * F.floor(k / 10)).alias("lat"), (F.lit(113) + 0.5 * (k % 10)).alias("lon"))
     box = lambda x0, x1, y0, y1: [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
-    return grid.rasterise(cells, [(1, box(112.9, 115.2, -14.9, -10.1)), (2, box(115.2, 118.0, -30.1, -10.1))]).select("cell", "region")
+    regions = grid.regions_table(spark, [(1, box(112.9, 115.2, -14.9, -10.1)), (2, box(115.2, 118.0, -30.1, -10.1))])
+    return grid.rasterise(cells, regions).select("cell", "region")
 
 
 _E2 = "0.006694380022903416"
@@ -224,7 +226,8 @@ def albers_project(spark, d):
     return table(spark, d, "supplier").select(F.col("s_suppkey").alias("cell"), F.round(x, 1).alias("x"), F.round(y, 1).alias("y"))
 
 
-@query("SELECT c_custkey, CAST(substr(c_name, 1, length(c_name) - 2) AS VARCHAR) AS short, regexp_replace(c_mktsegment, '(ING|URE|Y)$', '') AS segment, c_name || '.nc' AS file FROM customer")
+@query("SELECT c_custkey, CAST(substr(c_name, 1, length(c_name) - 2) AS VARCHAR) AS short, c_name[-5:-2] AS middle, TRY_CAST(substr(unit, 1, length(unit) - 1) AS DOUBLE) AS metres, regexp_replace(c_mktsegment, '(ING|URE|Y)$', '') AS segment, c_name || '.nc' AS file FROM (SELECT *, CASE WHEN c_custkey % 4 = 0 THEN 'unknown' ELSE CAST(c_nationkey AS VARCHAR) || '.5m' END AS unit FROM customer)")
 def string_templates(spark, d):
     n = F.col("c_name")
-    return table(spark, d, "customer").select("c_custkey", n.substr(F.lit(1), F.length(n) - 2).alias("short"), S.strip_suffix(F.col("c_mktsegment"), "ING", "URE", "Y").alias("segment"), F.format_string("%s.nc", n).alias("file"))
+    unit = F.when(F.col("c_custkey") % 4 == 0, "unknown").otherwise(F.concat(F.col("c_nationkey").cast("string"), F.lit(".5m")))
+    return table(spark, d, "customer").select("c_custkey", S.without_end(n, 2).alias("short"), S.from_end(n, 5, 1).alias("middle"), S.number_with_unit(unit).alias("metres"), S.strip_suffix(F.col("c_mktsegment"), "ING", "URE", "Y").alias("segment"), F.format_string("%s.nc", n).alias("file"))

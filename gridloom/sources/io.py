@@ -42,10 +42,45 @@ def read_index_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.to_date("month", "yyyyMM").cast("timestamp_ntz").alias("t"), "value")
 
 
+def read_named_csv(spark: SparkSession, path: str, index: str, names: dict[str, str] | None = None) -> DataFrame:
+    """A CSV with a header whose index column is named (national totals by year), some columns renamed."""
+    df = spark.read.csv(path, header=True, inferSchema=True).withColumnsRenamed(names or {})
+    return df.select(index, *(c for c in df.columns if c != index))
+
+
 def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    """GeoJSON features: properties and the outer ring of a polygon."""
-    g = spark.read.json(path, multiLine=True).select(F.explode("features").alias("f"))
-    return g.select("f.properties.*", F.col("f.geometry.coordinates")[0].alias("ring"))
+    """GeoJSON features: properties and the rings, holes among them, of a Polygon or of all parts of a MultiPolygon."""
+    known = spark.read.json(path, multiLine=True).select(F.explode("features").alias("f")).select("f.properties").schema["properties"].dataType
+    schema = f"features array<struct<geometry: struct<type: string, coordinates: string>, properties: {known.simpleString()}>>"
+    g = spark.read.schema(schema).json(path, multiLine=True)
+    g = g.select(F.explode("features").alias("f"))
+    text, ring = F.col("f.geometry.coordinates"), "array<array<array<double>>>"
+    rings = F.when(F.col("f.geometry.type") == "MultiPolygon", F.flatten(F.from_json(text, f"array<{ring}>"))).otherwise(F.from_json(text, ring))
+    return g.select("f.properties.*", rings.alias("rings"))
+
+
+def read_existing(spark: SparkSession, paths: dict[str, str], read) -> tuple[dict[str, DataFrame], list[str]]:
+    """The tables of the sites whose path exists, by ``read(path)``, and the names of those that are skipped."""
+    found, skipped = {}, []
+    for site, path in paths.items():
+        if _exists(spark, path):
+            found[site] = read(path)
+        else:
+            skipped.append(site)
+    return found, skipped
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def batch_parameters(spark: SparkSession, names: dict[str, type], prefix: str = "gridloom.batch.") -> dict:
+    """Parameters of a batch job from the session's settings (``--conf gridloom.batch.model_var=GPP``), each of its type; a missing one is an error."""
+    got = {n: spark.conf.get(prefix + n, None) for n in names}
+    if lost := [n for n, v in got.items() if v is None]:
+        raise ValueError(f"no setting for {', '.join(prefix + n for n in lost)}")
+    return {n: kind(got[n]) for n, kind in names.items()}
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -118,30 +153,84 @@ def missing(new: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def write_cube(df: DataFrame, path: str, partitions: list[str] | None = None, narrow: bool = True) -> None:
-    """Doubles become floats; only the partitions that df has are replaced."""
+    """Doubles become floats. With ``partitions`` only those that df has are replaced, else the whole cube is."""
     if narrow:
-        df = df.withColumns({c: F.col(c).cast("float") for c, k in df.dtypes if k == "double"})
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (w.partitionBy(*partitions) if partitions else w).parquet(path)
+        df = df.select(*(F.col(f"`{f.name}`").cast("float").alias(f.name, metadata=f.metadata) if f.dataType == T.DoubleType() else F.col(f"`{f.name}`") for f in df.schema.fields))
+    w = df.write.mode("overwrite")
+    (w.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions) if partitions else w).parquet(path)
+
+
+def write_variables(df: DataFrame, path: str, keys: tuple[str, ...] = ("cell", "t")) -> None:
+    """A stacked cube, a folder for each variable, in one pass."""
+    names = [c for c in df.columns if c not in keys]
+    long = df.select(*keys, *(F.col(c).cast("float") for c in names)).unpivot(list(keys), names, "variable", "value")
+    write_cube(long, path, ["variable"])
+
+
+def read_variable(spark: SparkSession, path: str, variable: str) -> DataFrame:
+    """One variable of a stacked cube; the other folders are not read."""
+    return spark.read.parquet(path).filter(F.col("variable") == variable).withColumnRenamed("value", variable).drop("variable")
+
+
+def product_path(root: str, product: str, variable: str, grid: str, version: str) -> str:
+    return f"{root.rstrip('/')}/{product}_{variable}_{grid}_quantiles_{version}"
+
+
+def write_product(df: DataFrame, root: str, product: str, variable: str, grid: str, version: str, first: int, last: int, attributes: dict | None = None) -> str:
+    """The final product of some years, one partition for each; another version is another folder. Years that are written again are replaced. Returns the path."""
+    path = product_path(root, product, variable, grid, version)
+    out = df.withColumn("year", F.year("t")).filter(F.col("year").between(first, last))
+    for c in (c for c in df.columns if c.startswith(variable)):
+        out = with_attributes(out, c, (attributes or {}) | {"version": version})
+    write_cube(out, path, ["year"])
+    return path
+
+
+def write_raw(df: DataFrame, path: str, reserved: tuple[str, ...] = ("_NCProperties",)) -> None:
+    """A copy of the source as it is, but for reserved attributes."""
+    for f in df.schema.fields:
+        if any(k in f.metadata for k in reserved):
+            df = with_attributes(df, f.name, {k: v for k, v in f.metadata.items() if k not in reserved})
+    df.write.mode("overwrite").parquet(path)
 
 
 def write_site_csv(df: DataFrame, path: str, site: str = "site") -> None:
     df.write.mode("overwrite").partitionBy(site).csv(path, header=True)
 
 
+def write_site_list(df: DataFrame, path: str, site: str = "site") -> None:
+    """The sites of a training table with their numbers of rows, as one CSV."""
+    df.groupBy(site).agg(F.count("*").alias("n")).orderBy(site).coalesce(1).write.mode("overwrite").csv(path, header=True)
+
+
+def write_feature_list(spark: SparkSession, path: str, features: list[str]) -> None:
+    """Names separated by commas, with one at the end, as ``read_header`` reads them."""
+    spark.createDataFrame([("".join(f"{x}," for x in features),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def append_table(df: DataFrame, path: str, keys: list[str]) -> int:
-    """Append the rows whose keys the table lacks; running it again adds nothing. Returns the number of new rows."""
+    """Append the rows whose keys the table lacks, one for each key; running it again adds nothing. Returns the number of new rows."""
     spark = df.sparkSession
+    fresh = df.dropDuplicates(keys)
+    if _exists(spark, path):
+        fresh = missing(fresh, spark.read.parquet(path), keys)
+    fresh = fresh.persist()  # counted and written
     try:
-        fresh = missing(df, spark.read.parquet(path), keys)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        fresh = df
-    n = fresh.count()
-    if n:
-        fresh.write.mode("append").parquet(path)
-    return n
+        n = fresh.count()
+        if n:
+            fresh.write.mode("append").parquet(path)
+        return n
+    finally:
+        fresh.unpersist()
+
+
+def append_predictions(predictions: DataFrame, path: str, variable: str, model: str, member: int) -> int:
+    """Observed and predicted values of a cross-validation (split, Test, Pred), keyed by variable, model, member, split and place in the split."""
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy("split").orderBy("Test", "Pred")) - 1
+    marked = predictions.select(F.lit(variable).alias("variable"), F.lit(model).alias("model"), F.lit(member).alias("member"), "split", place.alias("place"), "Test", "Pred")
+    return append_table(marked, path, ["variable", "model", "member", "split", "place"])
 
 
 def with_attributes(df: DataFrame, column: str, attributes: dict) -> DataFrame:

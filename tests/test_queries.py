@@ -156,9 +156,6 @@ def test_files(spark, tmp_path):
     assert [x.t.month for x in io.read_index_csv(spark, f"{tmp_path}/soi.txt").orderBy("t").collect()] == [1, 2]
     (tmp_path / "variables.txt").write_text("LAI_RS,Tair_EC,site,")
     assert io.read_header(spark, f"{tmp_path}/variables.txt") == ["LAI", "Tair"]
-    (tmp_path / "r.json").write_text('{"features": [{"properties": {"name": "a"}, "geometry": {"coordinates": [[[0, 0], [1, 0], [1, 1]]]}}]}')
-    r = io.read_regions(spark, f"{tmp_path}/r.json").first()
-    assert r.name == "a" and len(r.ring) == 3
     io.publish(clean.withColumn("m", F.col("v")), f"{tmp_path}/pub", "m", ["m"])
     assert spark.read.parquet(f"{tmp_path}/pub/AnnualSum").count() == 2
     assert io.with_attributes(clean, "v", {"units": "gC"}).schema["v"].metadata == {"units": "gC"}
