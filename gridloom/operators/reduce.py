@@ -74,11 +74,13 @@ def box_summary(v: Column) -> list[Column]:
     return [F.avg(v).alias("mean"), q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")]
 
 
-def kde(df: DataFrame, x: str, y: str, points: int = 4000) -> DataFrame:
-    """Gaussian density (Scott's bandwidth) of a deterministic sample of at most ``points`` rows at these rows."""
-    s = df.select(F.col(x).alias("x"), F.col(y).alias("y"), F.xxhash64(x, y).alias("h")).orderBy("h", "x", "y").limit(points)
+def kde(df: DataFrame, x: str, y: str, points: int = 4000, order: Column | None = None) -> DataFrame:
+    """Gaussian density (Scott's bandwidth) of a deterministic sample of at most ``points`` rows, the first by ``order`` (default: a hash of the values), at these rows.
+
+    NULL without any spread (fewer than two rows, or all on a line)."""
+    s = df.select(F.col(x).alias("x"), F.col(y).alias("y"), (F.xxhash64(x, y) if order is None else order).alias("h")).orderBy("h", "x", "y").limit(points)
     m = s.select(F.count("*").alias("n"), F.var_samp("x").alias("xx"), F.var_samp("y").alias("yy"), F.covar_samp("x", "y").alias("xy")).first()
-    if not m.n or m.xx is None:
+    if not m.n or m.xx is None or m.xx * m.yy - m.xy**2 <= 0:
         return s.select("x", "y", F.lit(None).cast("double").alias("density"))
     f = m.n ** (-1 / 3)  # the square of the bandwidth
     det = (m.xx * m.yy - m.xy**2) * f * f

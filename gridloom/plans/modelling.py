@@ -87,9 +87,14 @@ def feature_importance(spark, d):
     return model.shap_importance(models, rows, FEATURES)
 
 
-@query()
+@query("""WITH p AS (SELECT l_extendedprice AS x, p_retailprice * l_quantity * 0.9 + 100 AS y FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_linenumber <> 3 AND p_size <> 7 ORDER BY md5(l_orderkey || ':' || l_linenumber), x, y LIMIT 4000),
+m AS (SELECT count(*) AS n, var_samp(x) AS xx, var_samp(y) AS yy, covar_samp(x, y) AS xy FROM p),
+k AS (SELECT n, xx, yy, xy, pow(n, -1.0 / 3) AS f, (xx * yy - xy * xy) * pow(n, -2.0 / 3) AS det FROM m)
+SELECT a.x, a.y, round(1e9 * sum(exp(-0.5 * (pow(b.x - a.x, 2) * yy - 2 * (b.x - a.x) * (b.y - a.y) * xy + pow(b.y - a.y, 2) * xx) * f / det)) / any_value(n * 2 * pi() * sqrt(det)), 4) AS density FROM (SELECT *, row_number() OVER () AS i FROM p) a, p b, k GROUP BY a.i, a.x, a.y""")
 def kde_density(spark, d):
-    return reduce.kde(pairs(spark, d).na.drop("any"), "o", "p")
+    key = F.md5(F.concat_ws(":", "l_orderkey", "l_linenumber").cast("binary"))
+    rows = training(spark, d).filter("l_linenumber <> 3 and size <> 7").withColumn("predicted", F.col("retail") * F.col("quantity") * 0.9 + 100)
+    return reduce.kde(rows, "label", "predicted", order=key).select("x", "y", r(F.col("density") * 1e9).alias("density"))
 
 
 @query("""WITH s AS (SELECT c_mktsegment AS site, c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' OR c_acctbal < 0 THEN NULL ELSE c_acctbal END AS VegH_EC, c_acctbal / 2 AS VegH_RS, c_acctbal + 1 AS NEE_SOLO_EC, CASE WHEN c_custkey % 9 <> 0 THEN c_acctbal + 2 END AS GPP_SOLO_EC, c_acctbal + 3 AS ER_SOLO_EC, c_acctbal + 4 AS ET_EC, CAST(c_nationkey AS DOUBLE) AS LAI_RS FROM customer WHERE NOT contains(c_mktsegment, 'BUILD')),

@@ -7,7 +7,6 @@ import pytest
 
 from gridloom.operators import reduce
 from gridloom.plans import modelling
-from gridloom.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,13 +18,20 @@ def brute(xy):
     return np.exp(-0.5 * quad).mean(axis=1) / (2 * np.pi * np.linalg.det(cov) ** 0.5)
 
 
-def test_kde_density_has_the_default_sample(spark):
-    rows = QUERIES["kde_density"](spark, SF).collect()
-    every = Counter((r.o, r.p) for r in modelling.pairs(spark, SF).select("o", "p").collect())
-    assert len(rows) == 4000 < sum(every.values())
-    assert not Counter((r.x, r.y) for r in rows) - every
-    xy = np.array([(r.x, r.y) for r in rows])
-    assert np.allclose([r.density for r in rows], brute(xy), rtol=1e-8)
+def test_default_sample(spark):
+    rows = modelling.pairs(spark, SF).na.drop("any")
+    got = reduce.kde(rows, "o", "p").collect()
+    every = Counter((r.o, r.p) for r in rows.collect())
+    assert len(got) == 4000 < sum(every.values())
+    assert not Counter((r.x, r.y) for r in got) - every
+    xy = np.array([(r.x, r.y) for r in got])
+    assert np.allclose([r.density for r in got], brute(xy), rtol=1e-8)
+
+
+def test_no_spread(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0)], "o double, p double")
+    for few in (df, df.limit(1), df.limit(0)):
+        assert all(r.density is None for r in reduce.kde(few, "o", "p").collect())
 
 
 @pytest.mark.parametrize("n", [3, 40])
