@@ -156,12 +156,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(same * 100 >= (F.col("n_a") + F.col("n_b") - same) * percent).select("a", "b").distinct()
 
 
-def joined_hot(rows: DataFrame, facts: DataFrame, key: str, limit: int, weight: str) -> DataFrame:
-    """rows joined with one fact for each value of ``key``. Values that stand in over ``limit`` rows (``weight``, a column of facts) are joined by
-    broadcast: at most count / limit of them; the others by a shuffle, none over ``limit`` rows."""
-    hot = F.broadcast(facts.filter(F.col(weight) > limit))
-    cold = facts.filter(F.col(weight) <= limit)
-    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key)).drop(weight)
+def joined_hot(rows: DataFrame, facts: DataFrame, key: str, fact: str, limit: int, weight: str) -> DataFrame:
+    """rows with the fact of their ``key``, null where there is none. Facts of values that stand in over ``limit`` rows (``weight``, a column of facts) come by
+    broadcast: at most count / limit of them. Their rows are dealt evenly in the shuffle that joins the others, of which none stands in over ``limit`` rows."""
+    hot = F.broadcast(facts.filter(F.col(weight) > limit).select(F.col(key), F.col(fact).alias("__hot")))
+    cold = facts.filter(F.col(weight) <= limit).select(F.col(key).alias("__key"), F.col(fact).alias("__cold"))
+    marked = rows.join(hot, key, "left")
+    dealt = marked.withColumn("__deal", F.when(F.col("__hot").isNull(), F.struct(F.col(key).alias("k"), F.lit(0).alias("own"))).otherwise(F.struct(F.xxhash64(*rows.columns).alias("k"), F.lit(1).alias("own"))))
+    joined = dealt.join(cold.withColumn("__key", F.struct(F.col("__key").alias("k"), F.lit(0).alias("own"))), F.col("__deal") == F.col("__key"), "left")
+    return joined.withColumn(fact, F.coalesce("__hot", "__cold")).drop("__hot", "__cold", "__deal", "__key")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -174,12 +177,12 @@ def components(links: DataFrame) -> DataFrame:
     now = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp"), F.count("*").alias("degree")))
     while True:
         # the least label of the neighbours, then the label of that label
-        labels = now.select(F.col("node").alias("b"), "comp", "degree")
-        around = joined_hot(both, labels, "b", limit, "degree").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("around"))
+        labels = now.select(F.col("node").alias("b"), F.col("comp").alias("other"), "degree")
+        around = joined_hot(both, labels, "b", "other", limit, "degree").groupBy(F.col("a").alias("node")).agg(F.min("other").alias("around"))
         low = cut(now.join(around, "node").select("node", F.least("comp", "around").alias("comp"), F.col("comp").alias("was"), "degree"))
         sizes = low.groupBy("comp").agg(F.count("*").alias("size"))
-        jump = cut(sizes.join(low.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp"))
-        after = cut(joined_hot(low, jump, "comp", limit, "size").select("node", F.least("comp", "next").alias("comp"), "was", "degree"))
+        jump = sizes.join(low.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp")
+        after = cut(joined_hot(low, jump, "comp", "next", limit, "size").select("node", F.least("comp", "next").alias("comp"), "was", "degree"))
         moved = after.filter("comp <> was").limit(1).count()
         now = after.select("node", "comp", "degree")
         if not moved:
@@ -212,11 +215,11 @@ def linkable(n_a: str, u_a: str, n_b: str, u_b: str, percent: int) -> str:
     return f"100 * {most} >= {percent} * ({n_a} + {n_b} - {most})"
 
 
-def residual(buckets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+def residual(buckets: DataFrame, about: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """The pairs of classes of different components that share a bucket and that the bounds do not rule out, each once."""
-    rows = buckets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    rows = buckets.select("rep", "band", "key").join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     open_ = rows.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
-    rows = cut(rows.join(open_, "key"))
+    rows = cut(rows.join(open_, "key")).join(about, "rep")
     side = lambda x: rows.select("key", "band", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "u", "comp", "bands", "hist")))
     most = "aggregate(zip_with(hist_a, hist_b, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
     on = f"""rep_a < rep_b and comp_a <> comp_b and {linkable("n_a", "u_a", "n_b", "u_b", percent)}
@@ -240,14 +243,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     seen = sets.select(F.count("*").alias("n"), F.count_distinct("rep").alias("d")).first()
     if seen.n != seen.d:  # an id is repeated; only then the sets are dealt by id
         sets = cut(sets.dropDuplicates(["rep"]))
-    about = classes.select("rep", "n", "bands").join(bounds(sets), "rep").filter(f"100 * (n - u) >= {percent} * n")
-    buckets = cut(buckets.join(about, "rep"))
+    about = cut(classes.select("rep", "n", "bands").join(bounds(sets), "rep").filter(f"100 * (n - u) >= {percent} * n"))
+    buckets = cut(buckets.join(about.select("rep", "n", "u"), "rep"))  # histograms stay apart: a class stands in many buckets
     heads = buckets.groupBy("key").agg(F.min(F.struct(F.expr("u / n").alias("share"), "rep", "n", "u")).alias("h")).select("key", F.col("h.rep").alias("a"), F.col("h.n").alias("n_a"), F.col("h.u").alias("u_a"))
     stars = buckets.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("u").alias("u_b")).join(heads, "key")
     pairs = cut(stars.filter("a <> b").filter(linkable("n_a", "u_a", "n_b", "u_b", percent)).select("a", "b", "n_a", "n_b").distinct())
     links = cut(confirmed(pairs, sets, percent))
     comps = components(links)
-    found = cut(confirmed(cut(residual(buckets, comps, percent)), sets, percent))
+    found = cut(confirmed(cut(residual(buckets, about, comps, percent)), sets, percent))
     if found.limit(1).count():
         comps = components(links.union(found))
     # back from classes to rows: classes with many rows by broadcast (their number is bounded), the others by a shuffle
