@@ -41,6 +41,8 @@ FEW = 2_000_000
 PARTS = 128
 #: A bucket or class with over this share of the rows is joined by broadcast; there are at most 1 / share of them (by band).
 HOT_SHARE = 1e-3
+#: Links of one node, and parts of one component, that are looked at together.
+HUB, SPREAD = 256, 8
 
 
 class Shingler:
@@ -140,6 +142,8 @@ def attach(pairs: DataFrame, side: str, sets: DataFrame) -> DataFrame:
     """
     other = "b" if side == "a" else "a"
     per = cut(pairs.groupBy(side).agg(F.count("*").alias("c")).select(side, F.least(F.ceil(F.col("c") / 256), F.lit(4096)).cast("int").alias("parts")))
+    if not per.filter("parts > 1").limit(1).count():
+        return pairs.join(sets.select(F.col("rep").alias(side), F.col("items").alias(f"items_{side}")).hint("merge"), side)
     many = broadcast_below(per.filter("parts > 1"), FEW)
     salt = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(other), F.col("parts").cast("long"))).otherwise(F.lit(0).cast("long"))
     salted = pairs.join(many, side, "left").withColumn("salt", salt).drop("parts")
@@ -156,35 +160,30 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(same * 100 >= (F.col("n_a") + F.col("n_b") - same) * percent).select("a", "b").distinct()
 
 
-def joined_hot(rows: DataFrame, facts: DataFrame, key: str, fact: str, limit: int, weight: str) -> DataFrame:
-    """rows with the fact of their ``key``, null where there is none. Facts of values that stand in over ``limit`` rows (``weight``, a column of facts) come by
-    broadcast: at most count / limit of them. Their rows are dealt evenly in the shuffle that joins the others, of which none stands in over ``limit`` rows."""
-    hot = F.broadcast(facts.filter(F.col(weight) > limit).select(F.col(key), F.col(fact).alias("__hot")))
-    cold = facts.filter(F.col(weight) <= limit).select(F.col(key).alias("__key"), F.col(fact).alias("__cold"))
-    marked = rows.join(hot, key, "left")
-    dealt = marked.withColumn("__deal", F.when(F.col("__hot").isNull(), F.struct(F.col(key).alias("k"), F.lit(0).alias("own"))).otherwise(F.struct(F.xxhash64(*rows.columns).alias("k"), F.lit(1).alias("own"))))
-    joined = dealt.join(cold.withColumn("__key", F.struct(F.col("__key").alias("k"), F.lit(0).alias("own"))), F.col("__deal") == F.col("__key"), "left")
-    return joined.withColumn(fact, F.coalesce("__hot", "__cold")).drop("__hot", "__cold", "__deal", "__key")
-
-
 def components(links: DataFrame) -> DataFrame:
     """node, comp: the smallest node of each component of the links (a, b). Nodes without a link are not listed.
 
-    A hub with a large share of the links, or a component with a large share of the nodes, is no single task: see ``joined_hot``.
+    No hub and no component is a single task: the links of a hub are dealt by a salt over as many parts as its degree asks for, and its label is
+    copied to these; the nodes of a component are dealt over ``SPREAD`` parts, to which the labels of components (not of nodes) are copied.
     """
-    both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    limit = int(both.count() * HOT_SHARE) + 16
-    now = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp"), F.count("*").alias("degree")))
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    degrees = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp"), F.count("*").alias("degree"))
+    # both directions are there, so a node's own links say in how many parts its neighbours look for it: the salt goes with the link
+    parts = F.ceil(F.col("degree") / HUB).cast("long")
+    now = cut(degrees.select("node", "comp", parts.alias("parts")))
+    hubs = now.filter("parts > 1").select(F.col("node").alias("b"), "parts")
+    salt = F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1).cast("long")))
+    both = cut(both.join(broadcast_below(hubs, FEW), "b", "left").select("a", "b", salt.alias("salt")))
     while True:
         # the least label of the neighbours, then the label of that label
-        labels = now.select(F.col("node").alias("b"), F.col("comp").alias("other"), "degree")
-        around = joined_hot(both, labels, "b", "other", limit, "degree").groupBy(F.col("a").alias("node")).agg(F.min("other").alias("around"))
-        low = cut(now.join(around, "node").select("node", F.least("comp", "around").alias("comp"), F.col("comp").alias("was"), "degree"))
-        sizes = low.groupBy("comp").agg(F.count("*").alias("size"))
-        jump = sizes.join(low.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp")
-        after = cut(joined_hot(low, jump, "comp", "next", limit, "size").select("node", F.least("comp", "next").alias("comp"), "was", "degree"))
+        labels = now.select(F.col("node").alias("b"), "comp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("salt"))
+        around = both.join(labels, ["b", "salt"]).groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("around"))
+        low = cut(now.join(around, "node").select("node", F.least("comp", "around").alias("comp"), F.col("comp").alias("was"), "parts"))
+        roots = low.select("comp").distinct().join(low.select(F.col("node").alias("comp"), F.col("comp").alias("next")), "comp")
+        jump = roots.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+        after = cut(low.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SPREAD).cast("long"))).join(jump, ["comp", "salt"]).select("node", F.least("comp", "next").alias("comp"), "was", "parts"))
         moved = after.filter("comp <> was").limit(1).count()
-        now = after.select("node", "comp", "degree")
+        now = after.select("node", "comp", "parts")
         if not moved:
             return now.select("node", "comp")
 

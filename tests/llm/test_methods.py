@@ -136,7 +136,7 @@ def test_least_id(spark):
 
 
 def test_components_of_hubs_and_chains(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "HOT_SHARE", 0.02)  # so that the hubs are hot
+    monkeypatch.setattr(minhash, "HUB", 16)  # so that there are hubs
     rng = random.Random(2)
     links = [(5000, i) for i in range(1, 400)] + [(i, i + 1) for i in range(1000, 1100)] + [(2000 + rng.randrange(90), 2000 + rng.randrange(90)) for _ in range(60)]
     links = [(a, b) for a, b in links if a != b]
