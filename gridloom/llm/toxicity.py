@@ -8,9 +8,10 @@ The labels play no part in the vectors: a term counts if at least ``min_df`` exa
 texts hold tells them apart least, and has the longest postings). Weights are (1 + ln count) * idf, scaled to norm 1.
 
 The search goes over a block-max inverted index: the postings of each term are cut into blocks of ``BLOCK`` examples, with the highest weight
-of each. A query bounds the cosine of every block by these maxima and scores blocks exactly, the highest bound first, until no bound left exceeds the k-th
-similarity found. Postings of the terms that over ``DENSE`` of the examples hold are kept with their gaps, as arrays over all examples, and
-added up at once. Examples are ordered by their most telling terms before they are cut into blocks, so that like examples stand together.
+of each. Postings of the terms that over ``DENSE`` of the examples hold are kept with their gaps, as arrays over all examples, and added up at
+once; the k-th highest of these parts is a lower bound of the k-th similarity, as no weight is negative. A query bounds the cosine of every block by the
+maxima, and only blocks whose bound reaches that value are read, and scored exactly. Examples are ordered by their most telling terms before they
+are cut into blocks, so that like examples stand together.
 
 What is learnt comes from a bounded sample: about ``max_examples`` labelled rows, chosen by a hash of the id, in the ratio that the labels
 have. The index is bounded by the texts of that sample and goes to every task as a broadcast.
@@ -37,10 +38,10 @@ from ._common import logistic, mapped, unit_hash
 WORD = re.compile(r"\w+")
 STEMS = (4, 5, 7)
 BLOCK = 256
-#: Blocks that are scored before the bounds are looked at again.
-ROUND = 8
 #: Terms that over this share of the examples hold have postings without gaps.
-DENSE = 0.1
+DENSE = 0.05
+#: Words whose terms are kept.
+CACHE = 300_000
 
 
 def terms_of(word: str) -> list[str]:
@@ -90,14 +91,27 @@ class Index:
         self.peak = np.zeros(len(kept) * blocks, np.float32)
         np.maximum.at(self.peak, cell, self.weight)
         self.peak = self.peak.reshape(len(kept), blocks)
-        self.dense = np.zeros((self.common, blocks * BLOCK), np.float32)
-        plain = int(np.searchsorted(at[by], self.common))
-        self.dense[at[by][:plain], self.who[:plain]] = self.weight[:plain]
-        self.whole = {t: i for t, i in self.terms.items() if not t.endswith("~")}
-        self.starts = [(n, {t[:-1]: i for t, i in self.terms.items() if t.endswith("~") and len(t) == n + 1}) for n in STEMS]
-        self.words: dict[str, tuple] = {}
         self.alone = 0.0
         self.cal = (1.0, 0.0)
+        self._derive()
+
+    def _derive(self) -> None:
+        """What follows from the postings and the terms; it is made again in each worker, not sent."""
+        self.dense = np.zeros((self.common, self.blocks * BLOCK), np.float32)
+        plain = int(self.start[self.common * self.blocks])
+        row = np.repeat(np.arange(self.common), np.diff(self.start[: self.common * self.blocks + 1 : self.blocks]))
+        self.dense[row, self.who[:plain]] = self.weight[:plain]
+        self.whole = {t: i for t, i in self.terms.items() if not t.endswith("~")}
+        self.starts = [(n, {t[:-1]: i for t, i in self.terms.items() if t.endswith("~") and len(t) == n + 1}) for n in STEMS]
+        self.words: dict[str, int] = {}
+        self.numbers = np.zeros((0, 1 + len(STEMS)), np.int32)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("dense", "whole", "starts", "words", "numbers")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._derive()
 
     def _weigh(self, at: np.ndarray, count: np.ndarray) -> np.ndarray:
         w = (1 + np.log(count)) * self.idf[at]
@@ -110,57 +124,64 @@ class Index:
         at = np.array([f[0] for f in found], np.int64)
         return at, self._weigh(at, np.array([f[1] for f in found], float)) if found else np.zeros(0, np.float32)
 
+    def _learn(self, words: list[str]) -> None:
+        """Give words a row of the numbers of their terms; the rows are dropped when there are too many."""
+        new = set(words).difference(self.words)
+        if len(self.words) + len(new) > CACHE:
+            self.words.clear()
+            new = set(words)
+        first = len(self.words)
+        if first + len(new) > len(self.numbers):
+            more = np.zeros((max(first + len(new), 2 * first, 1024), 1 + len(STEMS)), np.int32)
+            more[:first] = self.numbers[:first]
+            self.numbers = more
+        whole, starts = self.whole, self.starts
+        rows = [[whole.get(word, -1), *(known.get(word[:n], -1) if len(word) >= n else -1 for n, known in starts)] for word in new]
+        if rows:
+            self.numbers[first : first + len(rows)] = rows
+        self.words.update(zip(new, range(first, first + len(rows)), strict=True))
+
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The same of a text; the terms of a word that an example holds are looked up once."""
-        words, whole, starts, at, n = self.words, self.whole, self.starts, [], []
-        for word, c in Counter(WORD.findall(text.lower())).items():
-            nums = words.get(word)
-            if nums is None:
-                i = whole.get(word)
-                nums = [] if i is None else [i]
-                for size, known in starts:
-                    if len(word) >= size and (j := known.get(word[:size])) is not None:
-                        nums.append(j)
-                if i is not None:
-                    words[word] = tuple(nums)
-            if nums:
-                at += nums
-                n += [c] * len(nums)
-        if not at:
+        """The same of a text; the terms of a word are looked up once."""
+        words = WORD.findall(text.lower())
+        try:
+            at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        except KeyError:
+            self._learn(words)
+            at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        at, count = np.unique(at, return_counts=True)
+        numbers = self.numbers[at]
+        held = numbers >= 0
+        if not held.any():
             return np.zeros(0, np.int64), np.zeros(0, np.float32)
-        terms, place = np.unique(np.array(at, np.int64), return_inverse=True)
-        return terms, self._weigh(terms, np.bincount(place, n))
+        terms, place = np.unique(numbers[held], return_inverse=True)
+        terms = terms.astype(np.int64)
+        return terms, self._weigh(terms, np.bincount(place, np.repeat(count, held.sum(axis=1))))
 
     def nearest(self, at: np.ndarray, w: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples, similarity above 0, ties to the smaller id."""
-        none = np.zeros(0, np.int64), np.zeros(0, np.float32)
         if not len(at) or not self.blocks:
-            return none
+            return np.zeros(0, np.int64), np.zeros(0, np.float32)
         bound = np.einsum("i,ij->j", w, self.peak[at])  # not by BLAS, whose threads would take other tasks' cores
-        order = np.argsort(-bound, kind="stable")
-        order = order[: np.searchsorted(-bound[order], 0)]
         rare = int(np.searchsorted(at, self.common))
-        score, least = np.einsum("i,ij->j", w[:rare], self.dense[at[:rare]]).astype(np.float64), -1.0
-        at, w, open_ = at[rare:], w[rare:], np.zeros(self.blocks, bool)
-        for a in range(0, len(order), ROUND):
-            now = order[a : a + ROUND]
-            now = now[bound[now] >= least - 1e-5]
-            if not len(now):
-                break
-            open_[now] = True
-            cells = at[:, None] * self.blocks + now[None, :]
-            first = self.start[cells].ravel()
-            size = self.start[cells + 1].ravel() - first
-            end = np.cumsum(size)
-            place = np.repeat(first - (end - size).astype(np.int32), size)
-            place += np.arange(len(place), dtype=np.int32)
-            score += np.bincount(self.who[place], self.weight[place] * np.repeat(np.repeat(w, len(now)), size), len(score))
-            if leave >= 0:
-                score[leave] = 0.0
-            known = score.reshape(-1, BLOCK)[open_].ravel()
-            if self.k < len(known):
-                least = float(np.partition(known, len(known) - self.k)[len(known) - self.k])
-        found = np.flatnonzero((score > max(least - 1e-7, 1e-6)) & np.repeat(open_, BLOCK))
+        score = np.einsum("i,ij->j", w[:rare], self.dense[at[:rare]]).astype(np.float64)
+        if leave >= 0:
+            score[leave] = 0.0
+        at, w, open_ = at[rare:], w[rare:], bound > 0
+        if self.k < len(score):  # what the common terms give is a part of the cosine, so its k-th highest value bounds the k-th similarity from below
+            open_ &= bound >= np.partition(score, len(score) - self.k)[len(score) - self.k] - 1e-5
+        edge = np.flatnonzero(np.diff(open_, prepend=False, append=False))  # open blocks that stand together are read at once
+        cells = at[:, None] * self.blocks + edge[None, :]
+        first, last = self.start[cells[:, ::2]].ravel(), self.start[cells[:, 1::2]].ravel()
+        size = last - first
+        place = np.repeat(last - np.cumsum(size, dtype=np.int32), size)
+        place += np.arange(len(place), dtype=np.int32)
+        score += np.bincount(self.who[place], self.weight[place] * np.repeat(np.repeat(w, len(edge) // 2), size), len(score))
+        if leave >= 0:
+            score[leave] = 0.0
+        score[np.repeat(~open_, BLOCK)] = 0.0
+        least = float(np.partition(score, len(score) - self.k)[len(score) - self.k]) if self.k < len(score) else 0.0
+        found = np.flatnonzero(score > max(least - 1e-7, 1e-6))
         s = np.round(score[found], 7)  # sums in another order differ in later places
         top = np.lexsort((self.ids[found], -s))[: self.k]
         return found[top], s[top].astype(np.float32)
@@ -217,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = sorted(seen)
     index = Index(ids, [seen[i][0] for i in ids], [seen[i][1] for i in ids], min(k, max(15, len(ids) // 20)))
     index.calibrate()
-    index.words, index.vectors = {}, []
+    index.vectors = []
     return index
 
 

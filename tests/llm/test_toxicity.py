@@ -39,7 +39,7 @@ def brute(texts, query, k, min_df, max_df):
 @pytest.mark.parametrize("k", [3, 15, 1000])
 def test_search_equals_whole_vectors(k, monkeypatch):
     monkeypatch.setattr(toxicity, "BLOCK", 16)  # many blocks, so that bounds rule some out
-    monkeypatch.setattr(toxicity, "ROUND", 2)
+    monkeypatch.setattr(toxicity, "CACHE", 100)  # fewer than the words there are
     rng = random.Random(k)
     vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(150)]
     texts = [" ".join(rng.choice(vocab[g * 50 : g * 50 + 70]) for _ in range(rng.randrange(1, 40))) for g in (0, 1, 2) for _ in range(90)]
