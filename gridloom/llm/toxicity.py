@@ -27,13 +27,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import logistic, mapped, unit_hash
+from ._common import logistic, mapped, trim, unit_hash
 
 WORD = re.compile(r"\w+")
 STEMS = (4, 5, 7)
@@ -42,6 +43,8 @@ BLOCK = 256
 DENSE = 0.05
 #: Words whose terms are kept.
 CACHE = 300_000
+#: What an index makes again in each worker.
+DERIVED = ("dense", "whole", "starts", "words", "numbers")
 
 
 def terms_of(word: str) -> list[str]:
@@ -60,20 +63,27 @@ def term_counts(text: str) -> Counter:
 class Index:
     """Block-max inverted index of the examples."""
 
-    def __init__(self, ids, docs: list[Counter], labels, k: int = 200, min_df: int = 3, max_df: float = 0.5):
+    def __init__(self, ids, docs: Iterable[Counter], labels, k: int = 200, min_df: int = 3, max_df: float = 0.5):
+        """``docs`` is read once, one bag of terms at a time: only numbers of terms are kept of it."""
         self.k = k
-        df: Counter = Counter()
+        seen: dict[str, int] = {}
+        bags = []
         for d in docs:
-            df.update(d.keys())
-        n = len(docs)
-        kept = sorted(t for t, c in df.items() if c >= min_df and c <= max(max_df * n, min_df))
-        kept.sort(key=lambda t: df[t] <= DENSE * n)  # the common ones first
-        self.common = sum(df[t] > DENSE * n for t in kept)
-        self.terms = {t: i for i, t in enumerate(kept)}
-        self.idf = np.array([math.log((n + 1) / (df[t] + 0.5)) for t in kept])
-        vectors = [self._vector(d) for d in docs]
+            bags.append((np.fromiter((seen.setdefault(t, len(seen)) for t in d), np.int32, len(d)), np.fromiter(d.values(), np.int32, len(d))))
+        n, names = len(bags), list(seen)
+        df = np.bincount(np.concatenate([b[0] for b in bags] or [np.zeros(0, np.int32)]), minlength=len(names))
+        numbers = np.flatnonzero((df >= min_df) & (df <= max(max_df * n, min_df))).tolist()
+        numbers.sort(key=lambda i: (df[i] <= DENSE * n, names[i]))  # the common ones first
+        self.terms = {names[i]: j for j, i in enumerate(numbers)}
+        share = df[numbers]
+        self.common = int((share > DENSE * n).sum())
+        self.idf = np.log((n + 1) / (share + 0.5))
+        place = np.full(len(names), -1, np.int32)
+        place[numbers] = np.arange(len(numbers), dtype=np.int32)
+        del seen, names
+        vectors = [self._vector(place[c], x) for c, x in bags]
+        del bags
         # like examples stand together: by their heaviest common terms
-        share = np.array([df[t] for t in kept])
         signs = [tuple(at[np.argsort(-share[at], kind="stable")[:3]].tolist()) for at, _ in vectors]
         order = sorted(range(n), key=lambda i: (signs[i], ids[i]))
         self.ids = np.array([ids[i] for i in order], np.int64)
@@ -87,10 +97,10 @@ class Index:
         self.who, self.weight = who[by].astype(np.int32), w[by]
         cell = at[by] * blocks + self.who // BLOCK
         self.blocks = blocks
-        self.start = np.searchsorted(cell, np.arange(len(kept) * blocks + 1)).astype(np.int32)
-        self.peak = np.zeros(len(kept) * blocks, np.float32)
+        self.start = np.searchsorted(cell, np.arange(len(share) * blocks + 1)).astype(np.int32)
+        self.peak = np.zeros(len(share) * blocks, np.float32)
         np.maximum.at(self.peak, cell, self.weight)
-        self.peak = self.peak.reshape(len(kept), blocks)
+        self.peak = self.peak.reshape(len(share), blocks)
         self.alone = 0.0
         self.cal = (1.0, 0.0)
         self._derive()
@@ -106,23 +116,32 @@ class Index:
         self.words: dict[str, int] = {}
         self.numbers = np.zeros((0, 1 + len(STEMS)), np.int32)
 
+    def release(self) -> None:
+        """Drop what searches need, here only: an index that is sent to a task makes it again there."""
+        for name in DERIVED:
+            self.__dict__.pop(name, None)
+        self.vectors = []
+        trim()
+
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("dense", "whole", "starts", "words", "numbers")}
+        return {k: v for k, v in self.__dict__.items() if k not in DERIVED}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self._derive()
 
     def _weigh(self, at: np.ndarray, count: np.ndarray) -> np.ndarray:
+        if not len(at):
+            return np.zeros(0, np.float32)
         w = (1 + np.log(count)) * self.idf[at]
         norm = math.sqrt(float((w * w).sum()))
         return (w / norm if norm else w).astype(np.float32)
 
-    def _vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers, ascending, and weights of norm 1."""
-        found = sorted((self.terms[t], c) for t, c in counts.items() if t in self.terms)
-        at = np.array([f[0] for f in found], np.int64)
-        return at, self._weigh(at, np.array([f[1] for f in found], float)) if found else np.zeros(0, np.float32)
+    def _vector(self, at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers, ascending, and weights of norm 1; a number below 0 is no term."""
+        by = np.argsort(at, kind="stable")[int((at < 0).sum()) :]
+        at = at[by].astype(np.int64)
+        return at, self._weigh(at, count[by])
 
     def _learn(self, words: list[str]) -> None:
         """Give words a row of the numbers of their terms; the rows are dropped when there are too many."""
@@ -228,17 +247,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_pydict({"id": b.column(0), "y": b.column(2), "terms": pa.array([list(c) for c in out], pa.list_(pa.string())), "n": pa.array([list(c.values()) for c in out], pa.list_(pa.int32()))})
 
     table = mapped(rows.select("__id", "text", "__y"), count, "id long, y int, terms array<string>, n array<int>").toArrow()
-    seen = {}
-    for i, y, t, n in zip(*(table.column(c).to_pylist() for c in ("id", "y", "terms", "n")), strict=True):
-        c = Counter(dict(zip(t, n, strict=True)))
-        if i not in seen or sorted(c.items()) < sorted(seen[i][0].items()):  # an id with several texts: the same one whatever the partitions
-            seen[i] = c, y
-    if not seen:
+    ids, labels, at = table.column("id").to_pylist(), table.column("y").to_pylist(), {}
+
+    def bag(i: int) -> Counter:
+        return Counter(dict(zip(table.column("terms")[i].as_py(), table.column("n")[i].as_py(), strict=True)))
+
+    for i, key in enumerate(ids):
+        if key not in at or sorted(bag(i).items()) < sorted(bag(at[key]).items()):  # an id with several texts: the same one whatever the partitions
+            at[key] = i
+    if not at:
         return None
-    ids = sorted(seen)
-    index = Index(ids, [seen[i][0] for i in ids], [seen[i][1] for i in ids], min(k, max(15, len(ids) // 20)))
+    order = [at[key] for key in sorted(at)]
+    index = Index(sorted(at), map(bag, order), [labels[i] for i in order], min(k, max(15, len(at) // 20)))
+    del table
     index.calibrate()
-    index.vectors = []
+    index.release()
     return index
 
 
