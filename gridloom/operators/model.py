@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import random
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -13,8 +15,10 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForest
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from ..functions.scalar import number_with_unit
+from . import boosting
 from .align import fallback_column
 from .mask import all_present, not_named, static_mask
 from .reduce import member_quantile
@@ -117,15 +121,34 @@ def nested_predictions(df: DataFrame, features: list[str], label: str, kind: str
 
 
 def fit_ensemble(df: DataFrame, site: str, features: list[str], label: str, members: int = 15, kinds: tuple[str, ...] = ("forest", "boosted"), seed: int = 0, params: dict | None = None) -> list[PipelineModel]:
-    """The models of all members, each learnt from every row of the sites that it does not leave out."""
-    counts = {r[0]: r[1] for r in df.groupBy(site).count().collect()}
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-sum(counts.values()) // TASK_ROWS))
-    rows = df.repartition(tasks).cache()  # read and joined once for all members
+    """The models of all members, each learnt from every row of the sites that it does not leave out. Boosted models of all members are learnt together, if
+    ``boosting`` has their parameters."""
+    found = {}
+    if "boosted" in kinds and boosting.fits((params or {}).get("boosted", {})):
+        found["boosted"] = boosted_ensemble(df, site, features, label, members, seed, (params or {}).get("boosted", {}))
+    if rest := [k for k in kinds if k not in found]:
+        counts = {r[0]: r[1] for r in df.groupBy(site).count().collect()}
+        tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-sum(counts.values()) // TASK_ROWS))
+        rows = df.repartition(tasks).cache()  # read and joined once for all members
+        parts = [leave_out(rows, site, left_out_sites(list(counts), m, seed=seed)) for m in range(members)]
+        found |= {k: [pipeline(features, label, k, seed + m, **(params or {}).get(k, {})).fit(part) for m, part in enumerate(parts)] for k in rest}
+        rows.unpersist()
+    return [found[k][m] for m in range(members) for k in kinds]
+
+
+def boosted_ensemble(df: DataFrame, site: str, features: list[str], label: str, members: int, seed: int, params: dict) -> list[PipelineModel]:
+    """Boosted models only, learnt together."""
+    trees, cuts, p = boosting.learn(df, site, features, label, lambda sites, m: left_out_sites(sites, m, seed=seed), members, params)
+    gc.collect()  # shuffle files of the training table go before the models are used
+    df.sparkSession.sparkContext._jvm.System.gc()
     models = []
-    for m in range(members):
-        part = leave_out(rows, site, left_out_sites(list(counts), m, seed=seed))
-        models += [pipeline(features, label, k, seed + m, **(params or {}).get(k, {})).fit(part) for k in kinds]
-    rows.unpersist()
+    for m, own in enumerate(trees):
+
+        def make(m=m, own=own):
+            assembler, tree = pipeline(features, label, "boosted", seed + m, **params).getStages()
+            return [assembler, boosting.spark_model(df.sparkSession, tree, own, cuts, p["stepSize"])]
+
+        models.append(boosting.Learnt(make, boosting.paths(own, cuts, p["stepSize"])))
     return models
 
 
@@ -165,17 +188,67 @@ def predict(df: DataFrame, model: PipelineModel, features: list[str], name: str
 def predict_ensemble(df: DataFrame, models: list[PipelineModel], features: list[str], masking: list[str], keys: list[str], layer: DataFrame | None = None, flag: str = "urban_water_mask") -> DataFrame:
     """keys and an array of the members' predictions: missing inputs count as 0, rows with a missing masking variable get NULLs, and so do cells that the layer
     (cell, flag) excludes. Without a layer no shuffle."""
+    d = _masked_inputs(df, features, masking, keys, layer, flag)
+    if every := _for_tables(models):
+        return _predict_by_tables(d, every, keys, features)
+    for i, m in enumerate(models):
+        d = m.stages[-1].copy().setFeaturesCol("__features").setPredictionCol(f"__p{i}").transform(d)
+    members = F.array(*(F.when(F.col("__ok"), F.col(f"__p{i}").cast("float")) for i in range(len(models))))
+    return d.select(*keys, members.alias("members"))
+
+
+def predict_median(df: DataFrame, models: list[PipelineModel], features: list[str], masking: list[str], keys: list[str]) -> DataFrame:
+    """keys and the median of the members as ``ensemble_median`` has it; of boosted models without arrays of members."""
+    if every := _for_tables(models):
+        return _predict_by_tables(_masked_inputs(df, features, masking, keys), every, keys, features, median=True)
+    return ensemble_median(predict_ensemble(df, models, features, masking, keys)).drop("members")
+
+
+def _for_tables(models: list[PipelineModel]) -> list | None:
+    """The trees of boosted models whose leaves fit a mask."""
+    if not models or not all(map(_boosted, models)):
+        return None
+    every = [_trees(m) for m in models]
+    return every if max(len(t) for trees in every for t in trees) <= 1 << boosting.DEEPEST else None
+
+
+def _masked_inputs(df: DataFrame, features: list[str], masking: list[str], keys: list[str], layer: DataFrame | None = None, flag: str = "urban_water_mask") -> DataFrame:
     if lost := [f for f in features if f not in df.columns]:
         raise ValueError(f"the cube has no {', '.join(lost)}")
     needed = list(dict.fromkeys([*keys, *features, *masking, *(["cell"] if layer is not None else [])]))
     d = df.select(*needed).withColumn("__ok", all_present(*masking) if masking else F.lit(True))
     if layer is not None:
         d = static_mask(d, layer, flag, ["__ok"]).withColumn("__ok", F.coalesce("__ok", F.lit(False)))
-    d = _inputs(d, features, True)
-    for i, m in enumerate(models):
-        d = m.stages[-1].copy().setFeaturesCol("__features").setPredictionCol(f"__p{i}").transform(d)
-    members = F.array(*(F.when(F.col("__ok"), F.col(f"__p{i}").cast("float")) for i in range(len(models))))
-    return d.select(*keys, members.alias("members"))
+    return _inputs(d, features, True)
+
+
+def _predict_by_tables(d: DataFrame, models: list, keys: list[str], features: list[str], median: bool = False) -> DataFrame:
+    """keys and members, or their median: the leaf of each tree out of tables over the bins that all thresholds make."""
+    d, n, count = d.select(*keys, "__ok", *(f"__f_{f}" for f in features)), len(keys), len(models)
+    cuts = boosting.path_cuts(models, len(features))
+    sizes = [len(c) + 1 for c in cuts]
+    tables = [[(boosting.leaf_masks(boosting.path_boxes(t, cuts), sizes), np.array([w * v for w, v, _ in t])) for t in trees] for trees in models]
+    shared = d.sparkSession.sparkContext.broadcast(tables)
+    rank = round(0.5 * (count - 1))  # half to even
+    kind = StructField("median", FloatType()) if median else StructField("members", ArrayType(FloatType()))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            ok = b.column(n).to_numpy(zero_copy_only=False).astype(bool)
+            codes = boosting.group_codes([boosting.binned(b.column(n + 1 + f).to_numpy(zero_copy_only=False), c) for f, c in enumerate(cuts)], sizes)
+            out = np.empty((count, b.num_rows), np.float32)
+            for i, trees in enumerate(shared.value):
+                out[i] = sum(values[boosting.leaves(masks, codes)] for masks, values in trees)
+            if median:
+                made = pa.array(np.sort(out.T, axis=1)[:, rank], pa.float32(), mask=~ok | (count < 3))
+            else:
+                values = pa.array(out.T.ravel(), pa.float32(), mask=np.repeat(~ok, count))
+                made = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * count), values)
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], made], [*b.schema.names[:n], kind.name])
+
+    return d.mapInArrow(run, StructType([*d.schema.fields[:n], kind]))
 
 
 def ensemble_median(df: DataFrame) -> DataFrame:
@@ -197,9 +270,19 @@ def plain_name(feature: str) -> str:
     return feature[:-3] if feature[-3:] in ("_RS", "_EC") else feature
 
 
+def _boosted(model: PipelineModel) -> bool:
+    return isinstance(model, boosting.Learnt) or isinstance(model.stages[-1], GBTRegressionModel)
+
+
 def _paths(model: PipelineModel) -> list[tuple[float, float, list]]:
-    """(weight of the tree, value, splits) of every leaf of every tree; a split is (feature, least, below, share): what the feature must be on the whole path (at least
+    return [leaf for tree in _trees(model) for leaf in tree]
+
+
+def _trees(model: PipelineModel) -> list[list[tuple[float, float, list]]]:
+    """(weight of the tree, value, splits) of every leaf, for each tree; a split is (feature, least, below, share): what the feature must be on the whole path (at least
     ``least`` exclusive and up to ``below``), and the product of the shares of training rows that went this way at its splits."""
+    if isinstance(model, boosting.Learnt):
+        return model.paths
     stage = model.stages[-1]
     weights = list(stage.treeWeights) if hasattr(stage, "treeWeights") else [1.0]
     if not isinstance(stage, GBTRegressionModel):
@@ -208,7 +291,7 @@ def _paths(model: PipelineModel) -> list[tuple[float, float, list]]:
 
     def walk(node, weight, held):
         if node.numDescendants() == 0:
-            out.append((weight, float(node.prediction()), [(f, *v) for f, v in sorted(held.items())]))
+            out[-1].append((weight, float(node.prediction()), [(f, *v) for f, v in sorted(held.items())]))
             return
         split, here = node.split(), float(node.impurityStats().count())
         f, at = split.featureIndex(), float(split.threshold())
@@ -217,6 +300,7 @@ def _paths(model: PipelineModel) -> list[tuple[float, float, list]]:
             walk(child, weight, held | {f: (a, b, share * float(child.impurityStats().count()) / here)})
 
     for weight, tree in zip(weights, stage.trees, strict=True):
+        out.append([])
         walk(tree._call_java("rootNode"), float(weight), {})
     return out
 
@@ -227,8 +311,6 @@ def shap_values(x, paths: list, n_features: int):
     A leaf's value counts if every feature of its path lies in its range; an absent one lets it count by its share. For each leaf the value of a feature is a sum over
     subsets of the other features on the path, by size, which a polynomial holds: its coefficients are products of (share + inside * z).
     """
-    import numpy as np
-
     phi = np.zeros((len(x), n_features))
     for weight, value, splits in paths:
         m = len(splits)
@@ -248,25 +330,58 @@ def shap_values(x, paths: list, n_features: int):
     return phi
 
 
+def shap_table(tree: list, cuts: list):
+    """The Shapley values of one tree for each combination of the ranges between its own thresholds, and for each group of features the tables that say which combination
+    bins belong to (their numbers add up)."""
+    own = boosting.path_cuts([[tree]], len(cuts))
+    inside = [np.append(o, np.inf) for o in own]  # one value of each range
+    sizes = [len(c) + 1 for c in cuts]
+    parts, step = [], 1
+    for o, c in zip(own, cuts, strict=True):
+        parts.append(np.searchsorted(o, np.append(c, np.inf), "left") * step)
+        step *= len(o) + 1
+    # the first feature changes fastest, as its step is the smallest
+    grid = np.stack([g.ravel(order="F") for g in np.meshgrid(*inside, indexing="ij")], 1)
+    return boosting.group_table(parts, sizes, np.add), shap_values(grid, tree, len(cuts))
+
+
 def shap_importance(models: list[PipelineModel], df: DataFrame, features: list[str]) -> DataFrame:
     """feature and importance: the mean absolute Shapley value over all rows, averaged over the models; the highest first, suffixes stripped.
 
-    Only boosted models count, as explaining forests takes long, unless there are no others. The models go to every task, each batch of rows gives one row of sums for each model.
+    Only boosted models count, as explaining forests takes long, unless there are no others. Rows in the same bins of all thresholds have the same values, so they are
+    counted first; each task then explains its share of the distinct combinations, and gives one row of sums for each model and feature.
     """
-    boosted = [m for m in models if isinstance(m.stages[-1], GBTRegressionModel)] or models
-    shared = df.sparkSession.sparkContext.broadcast([_paths(m) for m in boosted])
-    n = len(features)
-
-    def run(batches):
-        import numpy as np
+    boosted = [m for m in models if _boosted(m)] or models
+    every, n = [_trees(m) for m in boosted], len(features)
+    cuts = boosting.path_cuts(every, n)
+    bins = [len(c) + 1 for c in cuts]
+    sizes = [math.prod(bins[f] for f in g) for g in boosting.grouped(bins)]
+    shared = df.sparkSession.sparkContext.broadcast(every)
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def count(batches):
+        coded = ((boosting.group_codes([boosting.binned(t.column(f).to_numpy(), c) for f, c in enumerate(cuts)], bins), np.zeros(len(t), int), [np.ones(len(t))]) for t in boosting._chunks(batches))
+        yield from boosting.collapsed(coded, sizes, 1, parts)
+
+    def explain(batches):
         import pyarrow as pa
 
-        for b in batches:
-            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), float) for c in b.columns]) if b.num_rows else np.zeros((0, n))
-            sums = [np.abs(shap_values(x, p, n)).sum(0) for p in shared.value]
-            yield pa.RecordBatch.from_pydict({"feature": pa.array([i for _ in sums for i in range(n)], pa.int32()), "total": pa.array(np.concatenate(sums)), "n": pa.array([b.num_rows] * (n * len(sums)), pa.int64())})
-
-    rows = df.select(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features)).mapInArrow(run, "feature int, total double, n long")
+        if (m := boosting.merged(boosting._payloads(batches), sizes)) is None:
+            return
+        codes, _, cell, (rows,) = m  # a cell for each pair, in order
+        sums = np.zeros((len(shared.value), n))
+        tables = [[shap_table(t, cuts) for t in trees] for trees in shared.value]
+        for a in range(0, len(rows), 1 << 14):
+            part, weight = [c[a : a + (1 << 14)] for c in codes], rows[a : a + (1 << 14)]
+            for i, trees in enumerate(tables):
+                phi = np.zeros((len(weight), n))
+                for at, values in trees:
+                    phi += values[sum(t[c] for t, c in zip(at, part, strict=True))]
+                sums[i] += weight @ np.abs(phi)
+        yield pa.RecordBatch.from_pydict({"feature": pa.array([i for _ in sums for i in range(n)], pa.int32()), "total": pa.array(sums.ravel()), "n": pa.array([rows.sum()] * sums.size, pa.float64())})
+
+    inputs = df.select(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f"f{i}") for i, f in enumerate(features)))
+    rows = inputs.mapInArrow(count, "part int, data binary").repartitionById(parts, F.col("part")).mapInArrow(explain, "feature int, total double, n double")
     mean = rows.groupBy("feature").agg(F.try_divide(F.sum("total"), F.sum("n")).alias("importance"))
     name = F.create_map(*(x for i, f in enumerate(features) for x in (F.lit(i), F.lit(plain_name(f)))))[F.col("feature")]
     return mean.select(name.alias("feature"), "importance").orderBy(F.desc("importance"), "feature")
