@@ -66,7 +66,7 @@ def site_list(spark, d):
 def _predict(spark, d, kind, **params):
     rows = training(spark, d)
     models = model.fit_ensemble(rows, "site", FEATURES, "label", kinds=(kind,), params={kind: params})
-    return model.ensemble_median(model.predict_ensemble(rows, models, FEATURES, ["quantity"], ["site", "l_orderkey", "l_linenumber"])).drop("members")
+    return model.predict_median(rows, models, FEATURES, ["quantity"], ["site", "l_orderkey", "l_linenumber"])
 
 
 @query()
